@@ -18,18 +18,18 @@ _MARK = "\u0001"  # cannot occur in strict JSON
 def strict_document(payload: Column) -> Column:
     """The parsed VARIANT, or NULL unless the whole text is exactly one JSON value.
 
-    Text after the first value would have to fit both inside an array and inside
-    an object; only a comma fits both, and that makes a second array element.
+    The text becomes the first element of an array whose second and last element is
+    the hash of the text. Text that ends the array early or adds elements moves the
+    hash away from there.
     """
-    in_array = F.try_parse_json(F.concat(F.lit("["), payload, F.lit("]")))
-    in_object = F.try_parse_json(F.concat(F.lit('{"v":'), payload, F.lit("}")))
-    single = in_object.isNotNull() & F.try_variant_get(in_array, "$[1]", "variant").isNull()
-    return F.when(single, F.try_variant_get(in_array, "$[0]", "variant"))
+    mark = F.xxhash64(payload)
+    pair = F.try_parse_json(F.concat(F.lit("["), payload, F.lit(","), mark.cast("string"), F.lit("]")))
+    return F.when(F.try_variant_get(pair, "$[1]", "bigint") == mark, F.try_variant_get(pair, "$[0]", "variant"))
 
 
 def may_hold_keys(payload: Column) -> Column:
     """Cheap test before parsing: only objects and arrays can contain keys."""
-    return F.ltrim(payload, F.lit(" \t\r\n")).rlike(r"^[\[{]")
+    return F.left(F.ltrim(payload, F.lit(" \t\r\n")), F.lit(1)).isin("{", "[")
 
 
 def is_object(payload: Column) -> Column:

@@ -14,5 +14,6 @@ def once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     one-row ``inline`` ends that: its output is a plain column to what follows.
     """
     kept = [name for name in df.columns if name not in columns]
-    row = F.struct(*[value.alias(name) for name, value in columns.items()])
-    return df.select(*kept, F.inline(F.array(row)))
+    computed = df.select(*kept, *[value.alias(f"_once_{name}") for name, value in columns.items()])
+    row = F.struct(*[F.col(f"_once_{name}").alias(name) for name in columns])
+    return computed.select(*kept, F.inline(F.array(row)))

@@ -16,10 +16,14 @@ _ESCAPED_LF = r"(?:\\{4}|\\{2}|\\)n"
 
 
 def presanitize(payload: Column) -> Column:
-    """Strip framing, turn escaped line ends into real ones, use CR throughout."""
+    """Strip framing, turn escaped line ends into real ones, use CR throughout.
+
+    The regular expressions only run for texts that contain an escape.
+    """
     text = F.btrim(payload, F.lit(FRAMING_CHARS))
-    text = F.regexp_replace(F.regexp_replace(text, _ESCAPED_CR, "\r"), _ESCAPED_LF, "\n")
-    text = F.translate(F.replace(text, F.lit("\r\n"), F.lit("\r")), "\n", "\r")
+    text = F.when(F.contains(text, F.lit("\\r")), F.regexp_replace(text, _ESCAPED_CR, "\r")).otherwise(text)
+    text = F.when(F.contains(text, F.lit("\\n")), F.regexp_replace(text, _ESCAPED_LF, "\n")).otherwise(text)
+    text = F.replace(F.replace(text, F.lit("\r\n"), F.lit("\r")), F.lit("\n"), F.lit("\r"))
     return F.regexp_replace(text, f"^{BYTE_ORDER_MARK}", "")
 
 

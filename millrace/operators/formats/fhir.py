@@ -23,23 +23,32 @@ def error(m: base.Message) -> Column:
         .when(~is_object(m.payload), F.lit(NOT_OBJECT)))
 
 
-def fields(m: base.Message) -> Column:
+def parse(m: base.Message) -> Column:
     doc = m.document
     kind = json_string(doc, "$.resourceType")
-    is_observation = kind == "Observation"
     value = json_part(doc, "$.valueQuantity.value")
+    profile = json_part(doc, "$.meta.profile")
+    return F.struct(
+        F.coalesce(kind, F.lit("")).alias("resource_type"),
+        F.coalesce(json_string(doc, "$.id"), F.lit("")).alias("id"),
+        F.when(kind == "Observation", json_string(doc, "$.code.coding[0].code")).alias("code"),
+        F.when((kind == "Observation") & value.isNotNull(), as_text(value)).alias("value"),
+        F.when(kind == "Encounter", json_string(doc, "$.class.code")).alias("class_code"),
+        F.when(profile.isNotNull(), as_text(profile)).alias("profile"))
+
+
+def fields(m: base.Message) -> Column:
     return base.sparse_map({
-        "fhir.resource_type": F.coalesce(kind, F.lit("")),
-        "fhir.id": F.coalesce(json_string(doc, "$.id"), F.lit("")),
-        "fhir.code": F.when(is_observation, json_string(doc, "$.code.coding[0].code")),
-        "fhir.value": F.when(is_observation & value.isNotNull(), as_text(value)),
-        "fhir.class.code": F.when(kind == "Encounter", json_string(doc, "$.class.code")),
+        "fhir.resource_type": m.parsed["resource_type"],
+        "fhir.id": m.parsed["id"],
+        "fhir.code": m.parsed["code"],
+        "fhir.value": m.parsed["value"],
+        "fhir.class.code": m.parsed["class_code"],
     })
 
 
 def metadata(m: base.Message, event_id: Column, source_system: Column) -> Column:
-    profile = json_part(m.document, "$.meta.profile")
-    return base.sparse_map({"meta.profile": F.when(profile.isNotNull(), as_text(profile))})
+    return base.sparse_map({"meta.profile": m.parsed["profile"]})
 
 
 def transform_error(f: Column) -> Column:
@@ -59,5 +68,5 @@ def canonical(f: Column) -> dict[str, Column]:
 
 
 SPEC = base.FormatSpec(
-    name="fhir", error=error, fields=fields, metadata=metadata,
+    name="fhir", parse=parse, error=error, fields=fields, metadata=metadata,
     transform_error=transform_error, canonical=canonical)

@@ -2,3 +2,6 @@
 
 from workload.queries import views  # noqa: F401
 from workload.queries import messages  # noqa: F401
+from workload.queries import ingest  # noqa: F401
+from workload.queries import compliance  # noqa: F401
+from workload.queries import metrics  # noqa: F401

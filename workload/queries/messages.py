@@ -246,7 +246,7 @@ def canonicalize(lake):
 
 @query("canonicalize_generic_ids", uses="detected", sql="""
 SELECT msg_id, j ->> '$.member_id' AS patient_id, j ->> '$.encounter_id' AS encounter_id,
- CASE WHEN j ->> '$.member_id' IS NULL THEN 'missing_identifiers' END AS error_reason
+ CASE WHEN (j ->> '$.member_id') IS NULL THEN 'missing_identifiers' END AS error_reason
 FROM (SELECT msg_id, format, j FROM detected) WHERE format = 'generic'""")
 def canonicalize_generic_ids(lake):
     rows = flat(canonical(lake, formats=FORMATS_WITH_GENERIC_IDS)).filter("format = 'generic'")
@@ -333,7 +333,7 @@ WRAPPED = base.FormatSpec(
 
 
 @query("custom_format", uses="detected", sql="""
-SELECT msg_id, CASE WHEN j -> '$.wrap' IS NOT NULL THEN 'wrapped' ELSE format END AS format,
+SELECT msg_id, CASE WHEN (j -> '$.wrap') IS NOT NULL THEN 'wrapped' ELSE format END AS format,
  j ->> '$.wrap.items[0].id' AS wrapped_id FROM detected""")
 def custom_format(lake):
     rules = (DetectionRule("wrap_key", "wrapped", contains_key="wrap"),
