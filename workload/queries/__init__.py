@@ -5,3 +5,5 @@ from workload.queries import messages  # noqa: F401
 from workload.queries import ingest  # noqa: F401
 from workload.queries import compliance  # noqa: F401
 from workload.queries import metrics  # noqa: F401
+from workload.queries import golden  # noqa: F401
+from workload.queries import governance  # noqa: F401

@@ -84,7 +84,7 @@ def _alarm_sql() -> str:
     bucket = lambda at, period: f"time_bucket(INTERVAL {period}, {at})"
     parts = []
     source = {
-        "job_failures": "SELECT 'job_failures' AS metric, logged_at AS at, 1.0 AS value FROM logs WHERE message IN ('job_failed', 'glue_job_failed')",
+        "job_failures": "SELECT 'job_failures' AS metric, logged_at AS at_ts, 1.0 AS value FROM logs WHERE message IN ('job_failed', 'glue_job_failed')",
         "schema_drift": "SELECT 'schema_drift', glue_processed_at, 1.0 FROM deliveries WHERE schema_version <> '1.0'",
         "late_arrivals": "SELECT 'late_arrivals', glue_processed_at, 1.0 FROM deliveries WHERE date_sub('minute', transmission_timestamp, s3_last_modified) > 5",
         "end_to_end_ms": f"SELECT 'end_to_end_ms', glue_processed_at, {MS.format('produced_at', 'glue_processed_at')} FROM deliveries",
@@ -102,7 +102,7 @@ def _alarm_sql() -> str:
         if r.metric in source:
             value = f"CAST({statistic[r.statistic]} AS DOUBLE)"
             parts.append(
-                f"SELECT '{r.alarm}' AS alarm, {bucket('at', r.period)} AS window_start, round({value}, 4) AS value, "
+                f"SELECT '{r.alarm}' AS alarm, {bucket('at_ts', r.period)} AS window_start, round({value}, 4) AS value, "
                 f"CASE WHEN {value} {r.comparison} {r.threshold} THEN 'ALARM' ELSE 'OK' END AS state "
                 f"FROM points WHERE metric = '{r.metric}' GROUP BY 2")
     return f"WITH points AS ({points}) " + " UNION ALL ".join(parts)
