@@ -174,7 +174,7 @@ def catalogue_match(events: DataFrame, catalogue: DataFrame) -> DataFrame:
     """
     pairs = events.select("event_type", "tenant_id").distinct()
     # One catalogue of bounded size against the distinct pairs.
-    applies = F.col("event_type").rlike(F.col("event_pattern")) & (
+    applies = F.rlike("event_type", F.col("event_pattern")) & (
         F.col("tenant").isNull() | (F.col("tenant") == F.col("tenant_id")))
     matched = pairs.join(F.broadcast(catalogue), applies).select(
         "event_type", "tenant_id", "rule_id", "rule_type", "severity")

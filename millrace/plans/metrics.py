@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -16,6 +17,7 @@ from millrace.plans import views
 PERCENTILES = {"p50": 0.50, "p95": 0.95, "p99": 0.99}
 LARGE_OBJECT_BYTES = 5_242_880
 FAILED_JOB_EVENTS = ("job_failed", "glue_job_failed")
+BASE_PERIOD = "5 minutes"  # every alarm period is a multiple of this
 HISTOGRAM_EDGES = (0, 10, 50, 100, 250, 500, 1000, 5000, 60000, 600000)
 
 
@@ -93,10 +95,13 @@ def error_rates(requests: DataFrame, size: str = "1 minute") -> DataFrame:
     return counts.join(times, "window_start", "left")
 
 
+def is_failed_job() -> Column:
+    return F.col("message").isin(*FAILED_JOB_EVENTS) | F.coalesce(F.col("event").isin(*FAILED_JOB_EVENTS), F.lit(False))
+
+
 def job_failures(log_records: DataFrame, size: str = "5 minutes") -> DataFrame:
     """Failed jobs per window; the name may be in the message or the event field."""
-    failed = F.col("message").isin(*FAILED_JOB_EVENTS) | F.coalesce(F.col("event").isin(*FAILED_JOB_EVENTS), F.lit(False))
-    return log_records.filter(failed).groupBy(window_start("logged_at", size).alias("window_start")).agg(
+    return log_records.filter(is_failed_job()).groupBy(window_start("logged_at", size).alias("window_start")).agg(
         F.count("*").alias("failures"))
 
 
@@ -167,17 +172,25 @@ ALARM_RULES = (
 )
 
 
-def _points(df: DataFrame, points: dict[str, tuple[Column, Column]]) -> DataFrame:
-    """One scan to a tall table (metric, at, value); NULL values are left out."""
+@dataclass(frozen=True)
+class Points:
+    """Tall rows (metric, at, value) and the metrics they can hold."""
+
+    metrics: tuple[str, ...]
+    rows: DataFrame
+
+
+def points(df: DataFrame, metrics: dict[str, tuple[Column, Column]]) -> Points:
+    """One scan to tall rows; NULL values are left out."""
     entries = F.array(*[
         F.struct(F.lit(name).alias("metric"), at.cast("timestamp_ntz").alias("at"), value.cast("double").alias("value"))
-        for name, (at, value) in points.items()])
-    return df.select(F.inline(entries)).filter(F.col("value").isNotNull())
+        for name, (at, value) in metrics.items()])
+    return Points(tuple(metrics), df.select(F.inline(entries)).filter(F.col("value").isNotNull()))
 
 
-def golden_points(golden: DataFrame) -> DataFrame:
+def golden_points(golden: DataFrame) -> Points:
     done = F.col("glue_processed_at")
-    return _points(golden, {
+    return points(golden, {
         "schema_drift": (done, F.when(F.col("schema_version") != views.EXPECTED_SCHEMA_VERSION, 1)),
         "late_arrivals": (done, F.when(views.is_late(), 1)),
         "end_to_end_ms": (done, elapsed_ms(F.col("produced_at"), done)),
@@ -185,13 +198,13 @@ def golden_points(golden: DataFrame) -> DataFrame:
     })
 
 
-def replay_points(golden: DataFrame) -> DataFrame:
-    return _points(views.replays(golden), {"replays": (F.col("glue_processed_at"), F.lit(1))})
+def replay_points(golden: DataFrame) -> Points:
+    return points(views.replays(golden), {"replays": (F.col("glue_processed_at"), F.lit(1))})
 
 
-def object_points(object_writes: DataFrame) -> DataFrame:
+def object_points(object_writes: DataFrame) -> Points:
     at, size = F.col("eventtime"), F.col("size_bytes")
-    return _points(object_writes, {
+    return points(object_writes, {
         "object_count": (at, F.lit(1)),
         "object_bytes": (at, F.when(size > 0, size)),
         "large_objects": (at, F.when(size > LARGE_OBJECT_BYTES, 1)),
@@ -199,37 +212,55 @@ def object_points(object_writes: DataFrame) -> DataFrame:
     })
 
 
-def request_points(requests: DataFrame) -> DataFrame:
-    return _points(requests, {"rejected_requests": (F.col("received_at"), F.when(F.col("status") != 202, 1))})
+def request_points(requests: DataFrame) -> Points:
+    return points(requests, {"rejected_requests": (F.col("received_at"), F.when(F.col("status") != 202, 1))})
 
 
-def _period_values(points: DataFrame, rules: list[AlarmRule], period: str) -> list[DataFrame]:
-    """Tall (metric, window_start, statistic, value) for the metrics of one period length."""
-    rows = points.withColumn("window_start", window_start("at", period))
-    of = lambda statistics: sorted({r.metric for r in rules if r.statistic in statistics})
-    tall = lambda df, names: df.select("metric", "window_start", F.explode(F.create_map(
-        *[c for name in names for c in (F.lit(name), F.col(name))])).alias("statistic", "value"))
-    parts = []
-    if of(("sum", "avg")):
-        parts.append(tall(rows.filter(F.col("metric").isin(*of(("sum", "avg")))).groupBy("metric", "window_start").agg(
-            F.sum("value").alias("sum"), F.avg("value").alias("avg")), ("sum", "avg")))
-    if of(PERCENTILES):
-        parts.append(tall(exact_percentiles(
-            rows.filter(F.col("metric").isin(*of(PERCENTILES))), ["metric", "window_start"], "value", PERCENTILES, 100.0),
-            PERCENTILES))
-    return [part.withColumn("period", F.lit(period)) for part in parts]
+def job_points(log_records: DataFrame) -> Points:
+    return points(log_records.filter(is_failed_job()), {"job_failures": (F.col("logged_at"), F.lit(1))})
 
 
-def alarm_state(points: DataFrame, rules=ALARM_RULES) -> DataFrame:
+def invalid_points(quarantine: DataFrame, at: str) -> Points:
+    return points(quarantine, {"invalid_records": (F.col(at), F.lit(1))})
+
+
+def _union(sources: Sequence[Points], metrics: Sequence[str]) -> DataFrame | None:
+    """Rows of the sources that can hold one of the metrics."""
+    used = [s.rows for s in sources if set(s.metrics) & set(metrics)]
+    return reduce(DataFrame.unionByName, used).filter(F.col("metric").isin(*metrics)) if used else None
+
+
+def alarm_state(sources: Sequence[Points], rules: Sequence[AlarmRule] = ALARM_RULES) -> DataFrame:
     """State of every alarm per period that has data.
 
-    Points are aggregated once per period length, partially before the shuffle.
+    All sums and counts come from one aggregate over the finest period, partially
+    aggregated before its shuffle; longer periods roll that up. Percentiles are
+    taken from the points of their own sources only.
     """
-    periods = sorted({r.period for r in rules})
-    values = reduce(DataFrame.unionByName, [
-        part for period in periods
-        for part in _period_values(points, [r for r in rules if r.period == period], period)])
-    table = points.sparkSession.createDataFrame([Row(**r.__dict__ | {"threshold": float(r.threshold)}) for r in rules])
+    finest = BASE_PERIOD
+    summed = sorted({r.metric for r in rules if r.statistic in ("sum", "avg")})
+    base = _union(sources, summed).groupBy("metric", window_start("at", finest).alias("_base")).agg(
+        F.sum("value").alias("sum"), F.count("*").alias("n"))
+    values = []
+    for period in sorted({r.period for r in rules}):
+        rolled = base if period == finest else base.groupBy("metric", window_start("_base", period).alias("_base")).agg(
+            F.sum("sum").alias("sum"), F.sum("n").alias("n"))
+        values.append(_tall(rolled.withColumnRenamed("_base", "window_start").withColumn(
+            "avg", F.col("sum") / F.col("n")), ("sum", "avg"), period))
+        ranked = sorted({r.metric for r in rules if r.period == period and r.statistic in PERCENTILES})
+        rows = _union(sources, ranked) if ranked else None
+        if rows is not None:
+            values.append(_tall(exact_percentiles(
+                rows.withColumn("window_start", window_start("at", period)), ["metric", "window_start"], "value",
+                PERCENTILES, bin_width=100.0), PERCENTILES, period))
+    table = base.sparkSession.createDataFrame([Row(**r.__dict__ | {"threshold": float(r.threshold)}) for r in rules])
     above = F.when(F.col("comparison") == ">", F.col("value") > F.col("threshold")).otherwise(F.col("value") < F.col("threshold"))
-    joined = values.join(F.broadcast(table), ["metric", "statistic", "period"])  # a dozen fixed rules
+    joined = reduce(DataFrame.unionByName, values).join(
+        F.broadcast(table), ["metric", "statistic", "period"])  # a dozen fixed rules
     return joined.select("alarm", "window_start", "value", F.when(above, F.lit("ALARM")).otherwise(F.lit("OK")).alias("state"))
+
+
+def _tall(df: DataFrame, statistics, period: str) -> DataFrame:
+    """One row per statistic."""
+    entries = F.array(*[F.struct(F.lit(s).alias("statistic"), F.col(s).alias("value")) for s in statistics])
+    return df.select("metric", "window_start", F.lit(period).alias("period"), F.inline(entries))

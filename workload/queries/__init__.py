@@ -7,3 +7,4 @@ from workload.queries import compliance  # noqa: F401
 from workload.queries import metrics  # noqa: F401
 from workload.queries import golden  # noqa: F401
 from workload.queries import governance  # noqa: F401
+from workload.queries import streams  # noqa: F401

@@ -316,10 +316,10 @@ def ingest_ack(lake):
     return canonical(lake).filter("error_reason IS NULL").select("event_id", "format")
 
 
-@query("pipeline_outcomes", uses="canon", sql="""
+@query("format_outcomes", uses="canon", sql="""
 SELECT format, coalesce(error_stage, 'accepted') AS outcome, count(*) AS n, count(DISTINCT source_system) AS sources
 FROM canon GROUP BY 1, 2""")
-def pipeline_outcomes(lake):
+def format_outcomes(lake):
     return canonical(lake).groupBy("format", F.coalesce("error_stage", F.lit("accepted")).alias("outcome")).agg(
         F.count("*").alias("n"), F.countDistinct("source_system").alias("sources"))
 

@@ -85,6 +85,7 @@ def _alarm_sql() -> str:
     parts = []
     source = {
         "job_failures": "SELECT 'job_failures' AS metric, logged_at AS at_ts, 1.0 AS value FROM logs WHERE message IN ('job_failed', 'glue_job_failed')",
+        "invalid_records": "SELECT 'invalid_records', received_at, 1.0 FROM outcomes WHERE reason = 'json_error'",
         "schema_drift": "SELECT 'schema_drift', glue_processed_at, 1.0 FROM deliveries WHERE schema_version <> '1.0'",
         "late_arrivals": "SELECT 'late_arrivals', glue_processed_at, 1.0 FROM deliveries WHERE date_sub('minute', transmission_timestamp, s3_last_modified) > 5",
         "end_to_end_ms": f"SELECT 'end_to_end_ms', glue_processed_at, {MS.format('produced_at', 'glue_processed_at')} FROM deliveries",
@@ -111,11 +112,9 @@ def _alarm_sql() -> str:
 @query("alarm_state", uses=("deliveries", "object_writes", "outcomes", "logs"), sql=_alarm_sql())
 def alarm_state(lake):
     golden, requests = lake.fixture("deliveries"), outcomes(lake)
-    failures = metrics._points(
-        parse_log_lines(log_lines(lake)).filter(F.col("message").isin(*metrics.FAILED_JOB_EVENTS)),
-        {"job_failures": (F.col("logged_at"), F.lit(1))})
-    points = (
-        metrics.golden_points(golden).unionByName(metrics.replay_points(golden))
-        .unionByName(metrics.object_points(object_writes(access_log(lake))))
-        .unionByName(metrics.request_points(requests)).unionByName(failures))
-    return metrics.alarm_state(points).withColumn("value", F.round("value", 4))
+    invalid = requests.filter("reason = 'json_error'")
+    sources = [
+        metrics.golden_points(golden), metrics.replay_points(golden), metrics.object_points(object_writes(access_log(lake))),
+        metrics.request_points(requests), metrics.invalid_points(invalid, "received_at"),
+        metrics.job_points(parse_log_lines(log_lines(lake)))]
+    return metrics.alarm_state(sources).withColumn("value", F.round("value", 4))
