@@ -92,3 +92,17 @@ def detection_rule_table(spark: SparkSession, path: str) -> DataFrame:
     return (
         spark.read.schema(schemas.DETECTION_RULES).option("multiLine", True).json(path)
         .select(F.posexplode("rules").alias("position", "rule")).select("position", "rule.*"))
+
+
+def register_table(spark: SparkSession, name: str, path: str, partitions: tuple[str, ...]) -> None:
+    """Create an external table over a Parquet folder, or add its new partitions and columns."""
+    schema = read_golden(spark, path, merge_schema=True).schema
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({', '.join(partitions)}) LOCATION '{path}'")
+    else:
+        known = set(spark.table(name).columns)
+        added = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema if f.name not in known]
+        if added:
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(added)})")
+    spark.sql(f"MSCK REPAIR TABLE {name}")
