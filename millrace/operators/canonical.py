@@ -56,12 +56,13 @@ def normalize(df: DataFrame, formats=FORMATS) -> DataFrame:
     ok = F.col("error_reason").isNull()
     out = once(out, {
         "fields": F.when(ok, _by_format(formats, lambda s: s.fields(_message(s)), _null(base.TEXT_MAP))),
-        "metadata": F.when(ok, _by_format(
-            formats,
-            lambda s: s.metadata(_message(s), F.col("event_id"), F.col("source_system")) if s.metadata else None,
-            _null(base.TEXT_MAP))),
         "error_stage": F.when(~ok, F.lit(NORMALIZE)),
     })
+    # A plain projection, so that plans which do not read it never compute it.
+    out = out.withColumn("metadata", F.when(ok, _by_format(
+        formats,
+        lambda s: s.metadata(_message(s), F.col("event_id"), F.col("source_system")) if s.metadata else None,
+        _null(base.TEXT_MAP))))
     return out.drop("segments", "document", *[f"parsed_{s.name}" for s in formats if s.parse])
 
 

@@ -31,15 +31,16 @@ def decode_requests(df: DataFrame, body: str = "body") -> DataFrame:
         "event_id": json_string(doc, "$.envelope.event_id"),
         "event_type": json_string(doc, "$.envelope.event_type"),
         "source_system": json_string(doc, "$.envelope.source_system"),
-        "produced_text": json_string(doc, "$.envelope.produced_at"),
+        "produced_at": parse_rfc3339(json_string(doc, "$.envelope.produced_at")),
         "envelope_typed": _strings_or_absent(doc, "event_id", "event_type", "source_system"),
         "payload_present": json_part(doc, "$.payload").isNotNull(),
+    })
+    # Plain projections: computed only by plans that read them.
+    return out.withColumns({
         "envelope": F.when(doc.isNotNull(), F.get_json_object(text, "$.envelope")),
         "payload": F.when(json_string(doc, "$.payload").isNotNull(), F.to_json(json_part(doc, "$.payload")))
         .when(doc.isNotNull(), F.get_json_object(text, "$.payload")),
     }).drop("document")
-    produced = parse_rfc3339(F.col("produced_text"))
-    return out.withColumn("produced_at", produced).drop("produced_text")
 
 
 def _strings_or_absent(doc: Column, *names: str) -> Column:

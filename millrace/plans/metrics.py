@@ -234,25 +234,26 @@ def alarm_state(sources: Sequence[Points], rules: Sequence[AlarmRule] = ALARM_RU
     """State of every alarm per period that has data.
 
     All sums and counts come from one aggregate over the finest period, partially
-    aggregated before its shuffle; longer periods roll that up. Percentiles are
-    taken from the points of their own sources only.
+    aggregated before its shuffle; each of its rows then counts towards one window
+    per period length. Percentiles are taken from the points of their own sources.
     """
-    finest = BASE_PERIOD
-    summed = sorted({r.metric for r in rules if r.statistic in ("sum", "avg")})
-    base = _union(sources, summed).groupBy("metric", window_start("at", finest).alias("_base")).agg(
-        F.sum("value").alias("sum"), F.count("*").alias("n"))
-    values = []
-    for period in sorted({r.period for r in rules}):
-        rolled = base if period == finest else base.groupBy("metric", window_start("_base", period).alias("_base")).agg(
-            F.sum("sum").alias("sum"), F.sum("n").alias("n"))
-        values.append(_tall(rolled.withColumnRenamed("_base", "window_start").withColumn(
-            "avg", F.col("sum") / F.col("n")), ("sum", "avg"), period))
+    periods = sorted({r.period for r in rules})
+    base = _union(sources, sorted({r.metric for r in rules if r.statistic in ("sum", "avg")})).groupBy(
+        "metric", window_start("at", BASE_PERIOD).alias("_base")).agg(F.sum("value").alias("sum"), F.count("*").alias("n"))
+    for i, period in enumerate(periods):
+        base = base.withColumn(f"_w{i}", window_start("_base", period))
+    windows = F.array(*[
+        F.struct(F.lit(period).alias("period"), F.col(f"_w{i}").alias("window_start")) for i, period in enumerate(periods)])
+    totals = base.select("metric", "sum", "n", F.inline(windows)).groupBy("metric", "period", "window_start").agg(
+        F.sum("sum").alias("sum"), (F.sum("sum") / F.sum("n")).alias("avg"))
+    values = [_tall(totals, ("sum", "avg"))]
+    for period in periods:
         ranked = sorted({r.metric for r in rules if r.period == period and r.statistic in PERCENTILES})
         rows = _union(sources, ranked) if ranked else None
         if rows is not None:
             values.append(_tall(exact_percentiles(
                 rows.withColumn("window_start", window_start("at", period)), ["metric", "window_start"], "value",
-                PERCENTILES, bin_width=100.0), PERCENTILES, period))
+                PERCENTILES, bin_width=100.0).withColumn("period", F.lit(period)), PERCENTILES))
     table = base.sparkSession.createDataFrame([Row(**r.__dict__ | {"threshold": float(r.threshold)}) for r in rules])
     above = F.when(F.col("comparison") == ">", F.col("value") > F.col("threshold")).otherwise(F.col("value") < F.col("threshold"))
     joined = reduce(DataFrame.unionByName, values).join(
@@ -260,7 +261,7 @@ def alarm_state(sources: Sequence[Points], rules: Sequence[AlarmRule] = ALARM_RU
     return joined.select("alarm", "window_start", "value", F.when(above, F.lit("ALARM")).otherwise(F.lit("OK")).alias("state"))
 
 
-def _tall(df: DataFrame, statistics, period: str) -> DataFrame:
+def _tall(df: DataFrame, statistics) -> DataFrame:
     """One row per statistic."""
     entries = F.array(*[F.struct(F.lit(s).alias("statistic"), F.col(s).alias("value")) for s in statistics])
-    return df.select("metric", "window_start", F.lit(period).alias("period"), F.inline(entries))
+    return df.select("metric", "window_start", "period", F.inline(entries))

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from millrace.functions.once import spread_scan
 from millrace.session import configure
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -111,6 +112,14 @@ SELECT event_id AS event_no, concat('corr-', CAST(user_id AS STRING)) AS correla
 FROM events""",
 }
 
+# Source table of each derived table with its key.
+SOURCES = {
+    "raw_messages": ("orders", "o_orderkey"), "deliveries": ("events", "event_id"), "rules": ("customer", "c_custkey"),
+    "object_access": ("events", "event_id"), "request_log": ("events", "event_id"), "envelopes": ("events", "event_id"),
+    "replay_requests": ("customer", "c_custkey"), "state_log": ("events", "event_id"),
+}
+PARSED = ("raw_messages", "request_log")  # parsed row by row in every plan
+
 _ADD_MS = re.compile(r"ADD_MS\(([^,]+), (\w+)\)")
 _TABLE_REF = re.compile(r"\b(FROM|JOIN) (" + "|".join(BASE_TABLES) + r")\b")
 
@@ -135,8 +144,25 @@ class Lake:
         return self.spark.sql(_TABLE_REF.sub(
             lambda m: f"{m.group(1)} parquet.`{self.sf_dir}/{m.group(2)}.parquet` {m.group(2)}", text))
 
-    def fixture(self, name: str) -> DataFrame:
-        return self.sql(FIXTURES[name])
+    def fixture(self, name: str, spread: bool = False) -> DataFrame:
+        """The derived table. ``spread`` is for plans that work hard on every row."""
+        source, key = SOURCES[name]
+        base = self.table(source)
+        if spread or name in PARSED:
+            base = spread_scan(base, key)
+        return self.derive(name, base)
+
+    def derive(self, name: str, base: DataFrame) -> DataFrame:
+        """The derived table over any frame shaped like its source, streams included."""
+        source, _ = SOURCES[name]
+        text = FIXTURES[name]
+        if name == "deliveries":  # one scan instead of a union of three
+            base = base.withColumn("delivery_no", F.explode(F.array_compact(F.array(
+                F.lit(0), F.when(F.col("event_id") % 11 == 0, F.lit(1)), F.when(F.col("event_id") % 33 == 0, F.lit(2))))))
+            text = text.split("\nFROM (")[0] + f"\nFROM {source}"
+        view = f"derived_{source}"
+        base.createOrReplaceTempView(view)
+        return self.sql(re.sub(rf"\bFROM {source}\b", f"FROM {view}", text))
 
     def stream(self, name: str) -> DataFrame:
         """The table as a file stream; the glob accepts a file as well as a folder."""

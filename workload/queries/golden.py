@@ -24,7 +24,7 @@ def documents(lake: Lake) -> DataFrame:
     """Deliveries as stored documents; some lack a required field."""
     n, col = F.col("event_id"), F.col
     text = lambda name: F.lit(None).cast("string").alias(name)
-    return lake.fixture("deliveries").select(
+    return lake.fixture("deliveries", spread=True).select(
         F.struct(
             n.cast("string").alias("event_id"), "event_type", "source_system",
             F.when(n % 47 != 0, iso(col("produced_at"))).alias("produced_at"),

@@ -7,29 +7,19 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.operators import canonical as can, compliance
 from millrace.session import work_dir
 from millrace.streaming import jobs, tables
-from workload.fixtures import FIXTURES, Lake
+from workload.fixtures import Lake
 from workload.queries.compliance import rules
 from workload.queries.golden import RUN_TIME, documents
 from workload.queries.views import LATE_SQL
 from workload.registry import query
 
 
-def _select_list(name: str) -> str:
-    """The fixture's select list without its FROM clause."""
-    return FIXTURES[name].rsplit("\nFROM (" if name == "deliveries" else "\nFROM ", 1)[0]
-
-
 def deliveries(lake: Lake) -> DataFrame:
-    """The deliveries fixture over a stream of events."""
-    n = F.col("event_id")
-    numbers = F.array_compact(F.array(F.lit(0), F.when(n % 11 == 0, F.lit(1)), F.when(n % 33 == 0, F.lit(2))))
-    lake.stream("events").withColumn("delivery_no", F.explode(numbers)).createOrReplaceTempView("arriving_deliveries")
-    return lake.sql(_select_list("deliveries") + "\nFROM arriving_deliveries")
+    return lake.derive("deliveries", lake.stream("events"))
 
 
 def states(lake: Lake) -> DataFrame:
-    lake.stream("events").createOrReplaceTempView("arriving_states")
-    return lake.sql(_select_list("state_log") + "\nFROM arriving_states")
+    return lake.derive("state_log", lake.stream("events"))
 
 
 def _paths(lake: Lake, name: str) -> tuple[str, str]:
@@ -98,12 +88,10 @@ def stream_lifecycle(lake):
 @query("stream_enrich", uses="enriched", sql="SELECT msg_id, compliance_flag, compliance_reason, compliance_rule_id FROM enriched")
 def stream_enrich(lake):
     path, checkpoint = _paths(lake, "stream-enrich")
-    text = FIXTURES["raw_messages"].replace("\nFROM orders JOIN", "\nFROM arriving_orders JOIN")
 
     def enrich(batch: DataFrame) -> DataFrame:
-        batch.createOrReplaceTempView("arriving_orders")
         here = Lake(batch.sparkSession, lake.sf_dir)
-        out = compliance.enrich(can.canonicalize(here.sql(text)), rules(here))
+        out = compliance.enrich(can.canonicalize(here.derive("raw_messages", batch)), rules(here))
         return out.select("msg_id", "compliance_flag", "compliance_reason", "compliance_rule_id")
 
     jobs.enrich_batches(lake.stream("orders"), path, checkpoint, enrich)

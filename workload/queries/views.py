@@ -16,7 +16,7 @@ KEYS_PER_DOCUMENT = 5, 25  # canonical_json gets 5 + event_id % 25 keys
 
 def golden(lake: Lake) -> DataFrame:
     """Deliveries with the remaining golden columns."""
-    d = lake.fixture("deliveries")
+    d = lake.fixture("deliveries", spread=True)
     base, span = KEYS_PER_DOCUMENT
     keys = F.sequence(F.lit(0), (F.lit(base - 1) + F.col("event_id") % span).cast("int"))
     return d.withColumns({
