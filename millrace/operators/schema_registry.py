@@ -15,11 +15,10 @@ def observed_fields(events: DataFrame) -> DataFrame:
 
     Distinct is partially aggregated, so the shuffle carries the few combinations only.
     """
-    keys = events.select("event_type", "event_version", "payload", F.explode(F.json_object_keys("payload")).alias("field"))
-    document = F.try_parse_json("payload")
-    value = F.try_variant_get(document, F.concat(F.lit("$['"), F.col("field"), F.lit("']")), "variant")
-    kind = F.regexp_replace(F.schema_of_variant(value), r"[(<].*$", "")
-    return keys.select("event_type", "event_version", "field", kind.alias("type")).distinct()
+    entries = F.try_variant_get(F.try_parse_json("payload"), "$", "map<string,variant>")
+    kind = F.regexp_replace(F.schema_of_variant("value"), r"[(<].*$", "")
+    return events.select("event_type", "event_version", F.explode(entries).alias("field", "value")).select(
+        "event_type", "event_version", "field", kind.alias("type")).distinct()
 
 
 def compare_versions(fields: DataFrame, before: str, after: str) -> DataFrame:

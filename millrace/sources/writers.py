@@ -49,13 +49,19 @@ def write_quarantine(df: DataFrame, path: str, mode: str = "append", error_date:
 
 
 def write_raw_zone(documents: DataFrame, path: str, newest: str = "transmission_timestamp") -> None:
-    """JSON by source_system and event_type. A later document with the same key replaces
-    the earlier one; partitions not touched stay as they are."""
-    _require(documents, RAW_KEY)
+    """Append JSON by source_system and event_type, one document per key.
+
+    ``read_raw_zone`` shows only the latest document of a key, so a later document
+    replaces an earlier one without rewriting what else its partition holds.
+    """
+    _require(documents, (*RAW_KEY, newest))
     last = first_delivery(documents, RAW_KEY, [F.col(newest).desc()])
-    (
-        last.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("source_system", "event_type").json(path))
+    last.write.mode("append").partitionBy("source_system", "event_type").json(path)
+
+
+def read_raw_zone(spark: SparkSession, path: str, schema: str, newest: str = "transmission_timestamp") -> DataFrame:
+    """The latest document per key. ``schema`` includes the key and ``newest``."""
+    return first_delivery(spark.read.schema(schema).json(path), RAW_KEY, [F.col(newest).desc()])
 
 
 def by_day(df: DataFrame, at: str, names: Sequence[str] = ("yyyy", "mm", "dd")) -> DataFrame:

@@ -51,11 +51,13 @@ def test_quarantine_accepts_any_columns(spark, folder):
     assert row["event_id"] == "e1" and row["error_reason"] == "bad" and row["error_date"] is not None
 
 
-def test_raw_zone_overwrites_equal_keys(spark, folder):
-    make = lambda rows: spark.createDataFrame(rows, "source_system string, event_type string, event_id string, transmission_timestamp string, v int")
-    writers.write_raw_zone(make([("s", "t", "1", "a", 1), ("s", "t", "1", "b", 2), ("s", "u", "2", "a", 3)]), folder("raw"))
+def test_raw_zone_replaces_equal_keys_only(spark, folder):
+    schema = "source_system string, event_type string, event_id string, transmission_timestamp string, v int"
+    make = lambda rows: spark.createDataFrame(rows, schema)
+    writers.write_raw_zone(make([("s", "t", "1", "a", 1), ("s", "t", "1", "b", 2), ("s", "t", "2", "a", 5), ("s", "u", "2", "a", 3)]), folder("raw"))
     writers.write_raw_zone(make([("s", "t", "1", "c", 9)]), folder("raw"))
-    assert sorted((r["event_type"], r["v"]) for r in spark.read.json(folder("raw")).collect()) == [("t", 9), ("u", 3)]
+    rows = writers.read_raw_zone(spark, folder("raw"), schema).collect()
+    assert sorted((r["event_type"], r["event_id"], r["v"]) for r in rows) == [("t", "1", 9), ("t", "2", 5), ("u", "2", 3)]
 
 
 DOC = '{"envelope":{"event_id":"%s","event_type":"ADT","source_system":"s","produced_at":"2025-01-01T00:00:00Z"},"canonical_event":{"event_id":"%s","format":"hl7"},"raw":"x","lineage":[{"name":"ingest","timestamp":"2025-01-01T00:00:00.123456789Z"}],"trace_id":"t","span_id":"p","transmission_timestamp":"2025-01-01T00:00:02Z","dispatched_at":"2025-01-01T00:00:03Z"}'

@@ -128,3 +128,13 @@ def test_base64_has_no_line_breaks(one):
 def test_elapsed_ms(spark):
     row = spark.sql("SELECT timestamp_ntz'2024-01-01 00:00:00' a, timestamp_ntz'2024-01-01 00:00:01.2345' b")
     assert row.select(elapsed_ms(F.col("a"), F.col("b"))).first()[0] == 1234.5
+
+
+def test_sql_function_agrees_with_the_expression(spark, one):
+    from millrace.functions.sql import register_functions
+
+    register_functions(spark)
+    texts = ['{"a":{"id":1}}', "{bad", nested(10), nested(11), '[{"id":1}]', '{"a":NaN,"id":1}', "", None]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").createOrReplaceTempView("texts")
+    by_sql = [r[0] for r in spark.sql("SELECT json_has_key(t, 'id') FROM texts ORDER BY i").collect()]
+    assert by_sql == one(texts, lambda c: jsonx.json_has_key(c, "id")) == [True, False, True, False, True, False, False, False]

@@ -151,10 +151,13 @@ def raw_zone_write(lake):
     path = work_dir(lake.spark, "raw")
     rows = documents(lake).select(
         "envelope.source_system", "envelope.event_type", "envelope.event_id", "trace_id", "delivery_no", "transmission_timestamp")
-    writers.write_raw_zone(rows, path)
-    return lake.spark.read.schema(
-        "event_id string, trace_id string, delivery_no bigint, source_system string, event_type string").json(path).select(
-        "source_system", "event_type", "event_id", "trace_id", "delivery_no")
+    # Replays arrive as a batch of their own.
+    writers.write_raw_zone(rows.filter("delivery_no = 0"), path)
+    writers.write_raw_zone(rows.filter("delivery_no > 0"), path)
+    return writers.read_raw_zone(
+        lake.spark, path,
+        "event_id string, trace_id string, delivery_no bigint, transmission_timestamp string, source_system string, event_type string"
+    ).select("source_system", "event_type", "event_id", "trace_id", "delivery_no")
 
 
 @query("raw_zone_by_day", uses="docs", sql="""

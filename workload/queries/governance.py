@@ -27,6 +27,14 @@ def as_of() -> Column:
     return F.lit(AS_OF).cast("timestamp_ntz")
 
 
+def stored_canonical(lake: Lake) -> DataFrame:
+    """Accepted canonical events as a table, for plans that read them more than once."""
+    path = work_dir(lake.spark, "canonical-events")
+    canonical(lake).filter("error_reason IS NULL").select(
+        "msg_id", "event_id", "format", "entity_type", "entity_id", "patient", "encounter", "observation").write.parquet(path)
+    return lake.spark.read.parquet(path)
+
+
 def envelopes(lake: Lake) -> DataFrame:
     """Envelopes whose payloads carry the defects and flags the rules look for."""
     n = F.col("event_no")
@@ -303,7 +311,7 @@ def structural_rules(lake):
 @query("patient_reference_valid", uses="fhir_out", sql="""
 SELECT msg_id, concat('Patient/', id) AS reference, id IN (SELECT id FROM fhir_out WHERE kind = 'Patient') AS resolved FROM fhir_out WHERE kind = 'Encounter'""")
 def patient_reference_valid(lake):
-    rows = canonical(lake).filter("error_reason IS NULL AND format = 'fhir'")
+    rows = stored_canonical(lake).filter("format = 'fhir'")
     known = rows.filter("patient IS NOT NULL").select(F.col("patient.id").alias("patient_id"))
     visits = rows.filter("encounter IS NOT NULL").select(
         "msg_id", "event_id", F.concat(F.lit("Patient/"), F.col("encounter.id")).alias("reference"))
@@ -318,7 +326,7 @@ SELECT msg_id, format, encounter_id, observation_code, sha256(concat('{SALT}', e
 FROM canon LEFT JOIN p ON p.person = entity_id LEFT JOIN e ON e.person = entity_id
 WHERE error_reason IS NULL AND format IN ('hl7', 'x12') AND entity_type = 'patient'""")
 def curated_encounters(lake):
-    return curated.encounters(canonical(lake).filter("error_reason IS NULL"), SALT)
+    return curated.encounters(stored_canonical(lake), SALT)
 
 
 # --- sequences ----------------------------------------------------------------------
