@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 BROADCAST_ROWS = 200_000  # a lookup is broadcast only after counting no more rows than this
 SLICES = 16               # pieces a key is split into when the lookup is too large for that
@@ -16,6 +17,19 @@ def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on columns of equal names where NULL equals NULL, as in GROUP BY and PARTITION BY."""
+    renamed = right.select(*[F.col(c).alias(f"_right_{c}" if c in on else c) for c in right.columns])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in on])
+    return left.join(renamed, same, how).drop(*[f"_right_{c}" for c in on])
+
+
+def _slice_of(salt: Sequence[str], slices: Column) -> Column:
+    """Slice of a row. The partition number separates exact copies of a row, which
+    agree in all columns, and stays the same when a task is run again."""
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *salt), slices).cast("int")
+
+
 def lookup_join(rows: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left",
                 salt: Sequence[str] = (), max_rows: int = BROADCAST_ROWS, slices: int = SLICES) -> DataFrame:
     """Equi-join a large table with a lookup table.
@@ -27,7 +41,7 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, on: Sequence[str], how: str
     on = list(on)
     if fits(lookup, max_rows):
         return rows.join(F.broadcast(lookup), on, how)
-    sliced = rows.withColumn("_slice", F.pmod(F.xxhash64(*(salt or rows.columns)), F.lit(slices)).cast("int"))
+    sliced = rows.withColumn("_slice", _slice_of(salt or on, F.lit(slices)))
     copies = lookup.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
     return sliced.join(copies, [*on, "_slice"], how).drop("_slice")
 
@@ -40,14 +54,9 @@ def spread_join(rows: DataFrame, per_key: DataFrame, on: Sequence[str], weight:
     most total rows / ``hot_rows`` such keys, which bounds the broadcast list.
     """
     on = list(on)
-    hot = per_key.filter(F.col(weight) > hot_rows).select(
-        *on, F.ceil(F.col(weight) / hot_rows).cast("int").alias("_slices"))
-    sliced = (
-        rows.join(F.broadcast(hot), on, "left")
-        .withColumn("_slice", F.pmod(F.xxhash64(*salt), F.coalesce("_slices", F.lit(1))).cast("int"))
-        .drop("_slices"))
-    pieces = F.greatest(F.ceil(F.col(weight) / hot_rows), F.lit(1)).cast("int")
-    copies = per_key.withColumn("_slice", F.explode(F.sequence(F.lit(0), pieces - 1)))
-    return sliced.join(copies, [*on, "_slice"], how).drop("_slice")
-
-
+    pieces = F.ceil(F.col(weight) / hot_rows).cast("int")
+    hot = per_key.filter(F.col(weight) > hot_rows).select(*on, pieces.alias("_pieces"))
+    sliced = null_safe_join(rows, F.broadcast(hot), on, "left").withColumn(
+        "_slice", _slice_of(salt, F.coalesce("_pieces", F.lit(1)))).drop("_pieces")
+    copies = per_key.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.greatest(pieces, F.lit(1)) - 1)))
+    return null_safe_join(sliced, copies, [*on, "_slice"], how).drop("_slice")

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from millrace.operators.joins import null_safe_join
+
 
 def with_neighbours(df: DataFrame, key: str, order: Sequence[str], previous: dict[str, str] | None = None,
                     following: dict[str, str] | None = None, sequence: str | None = None,
@@ -39,7 +41,7 @@ def with_neighbours(df: DataFrame, key: str, order: Sequence[str], previous: dic
         F.coalesce(F.sum("_n").over(over_slices.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
         F.lag("_last").over(over_slices).alias("_left"),
         F.lead("_first").over(over_slices).alias("_right"))
-    out = local.join(carry, [key, "_slice"])
+    out = null_safe_join(local, carry, [key, "_slice"])
     added = {name: F.when(F.col("_rn") == 1, F.col("_left")[src]).otherwise(F.col(f"_p_{name}"))
              for name, src in previous.items()}
     added |= {name: F.when(F.col("_rn") == F.col("_n"), F.col("_right")[src]).otherwise(F.col(f"_f_{name}"))
@@ -58,4 +60,4 @@ def with_running_max(df: DataFrame, key: str, order: Sequence[str], value: str,
     tops = sliced.groupBy(key, "_slice").agg(F.max(value).alias("_top"))
     over_slices = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carry = tops.select(key, "_slice", F.max("_top").over(over_slices).alias("_before"))
-    return local.join(carry, [key, "_slice"]).select(*df.columns, F.greatest("_local", "_before").alias(name))
+    return null_safe_join(local, carry, [key, "_slice"]).select(*df.columns, F.greatest("_local", "_before").alias(name))

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from millrace.operators.joins import null_safe_join
+
 
 def exact_percentiles(df: DataFrame, group: Sequence[str], value: str, probabilities: dict[str, float],
                       bin_width: float) -> DataFrame:
@@ -35,7 +37,7 @@ def exact_percentiles(df: DataFrame, group: Sequence[str], value: str, probabili
     ).filter(F.size("_wanted") > 0).drop("_end")
     in_bin = Window.partitionBy(*group, "_bin").orderBy("_v")
     placed = (
-        counts.join(chosen, [*group, "_bin"])
+        null_safe_join(counts, chosen, [*group, "_bin"])
         .withColumn("_upto", F.col("_start") + F.sum("_c").over(in_bin))
         .withColumn("_w", F.explode("_wanted")))
     covers = lambda r: (F.col("_upto") - F.col("_c") <= F.col(f"_w.{r}")) & (F.col(f"_w.{r}") < F.col("_upto"))

@@ -44,6 +44,29 @@ def test_spread_join_splits_hot_keys_and_keeps_all_rows(spark):
     assert len(out) == len(rows) and all(r["c"] == sizes[r["key"]] for r in out)
 
 
+def test_spread_join_splits_exact_copies(spark):
+    copies = spark.range(0, 4000, 1, 16).select(F.when(F.col("id") % 3 > 0, F.lit("hot")).alias("key"), F.lit(1).alias("n"))
+    counts = copies.groupBy("key").agg(F.count("*").alias("c"))
+    out = spread_join(copies, counts, ["key"], "c", ["n"], hot_rows=500)
+    got = {(r["key"], r["c"]): r["count"] for r in out.groupBy("key", "c").count().collect()}
+    assert got == {("hot", 2666): 2666, (None, 1334): 1334}
+    from millrace.operators.joins import _slice_of
+
+    slices = copies.filter("key = 'hot'").select(_slice_of(["n"], F.lit(6)).alias("s")).distinct().count()
+    assert slices > 2
+
+
+def test_null_keys_and_times_are_kept(spark):
+    rows = [(None, 1, T0), (None, 2, T0 + dt.timedelta(hours=2)), ("a", 3, None), ("a", 4, T0)]
+    df = spark.createDataFrame(rows, "key string, n int, at timestamp_ntz")
+    out = {r["n"]: (r["seq"], r["before"]) for r in ordered.with_neighbours(df, "key", ["at", "n"], {"before": "n"}, sequence="seq").collect()}
+    assert out == {1: (1, None), 2: (2, 1), 3: (1, None), 4: (2, 3)}
+    top = {r["n"]: r["top"] for r in ordered.with_running_max(df, "key", ["at", "n"], "n", "top").collect()}
+    assert top == {1: None, 2: 1, 3: None, 4: 3}
+    (low,) = exact_percentiles(df.filter("key IS NULL"), ["key"], "n", {"p50": 0.5}, 1.0).collect()
+    assert (low["p50"], low["n"]) == (1.5, 2)
+
+
 def test_repeated_deliveries_and_first_delivery(spark):
     rows = [("a", 1, T0), ("a", 2, T0), ("b", 3, T0), ("a", 4, T0 + dt.timedelta(hours=1))]
     df = spark.createDataFrame(rows, "event_id string, n int, at timestamp_ntz")
