@@ -141,6 +141,16 @@ def compliance_fallbacks(enriched: DataFrame) -> DataFrame:
         F.count_if(~miss).alias("rule_hits"))
 
 
+COMPLIANCE_ERRORS = {
+    "missing_identifiers": "INVALID_EVENT_MISSING_IDENTIFIERS", "derive_failed": "INVALID_EVENT_DERIVE_FAILED"}
+
+
+def compliance_errors(canonical: DataFrame) -> DataFrame:
+    kind = F.coalesce(*[F.when(F.col("error_reason") == r, F.lit(code)) for r, code in COMPLIANCE_ERRORS.items()])
+    return canonical.filter(F.col("error_stage") == "compliance").groupBy(kind.alias("error_type")).agg(
+        F.count("*").alias("errors"))
+
+
 # --- alarms -------------------------------------------------------------------------
 
 

@@ -130,7 +130,7 @@ def rules_upsert(lake):
 
 
 @query("rules_unique_violations", uses="timed_rules", sql="""
-SELECT entity_type, entity_id, rule_type, source_format, event_type, 2 AS copies FROM timed_rules
+SELECT entity_type, entity_id, rule_type, source_format, event_type, CAST(2 AS BIGINT) AS copies FROM timed_rules
 WHERE CAST(entity_id AS BIGINT) % 2 = 0 AND CAST(entity_id AS BIGINT) % 6 <> 2""")
 def rules_unique_violations(lake):
     return compliance.unique_violations(rules(lake).unionByName(changes(lake)))
@@ -164,6 +164,13 @@ def compliance_fallbacks(lake):
     return metrics.compliance_fallbacks(enriched(lake))
 
 
+@query("compliance_errors", uses="canon", sql="""
+SELECT CASE error_reason WHEN 'missing_identifiers' THEN 'INVALID_EVENT_MISSING_IDENTIFIERS' ELSE 'INVALID_EVENT_DERIVE_FAILED' END AS error_type,
+ count(*) AS errors FROM canon WHERE error_stage = 'compliance' GROUP BY 1""")
+def compliance_errors(lake):
+    return metrics.compliance_errors(canonical(lake))
+
+
 @query("compliance_success_rate", uses="enriched", sql="""
 SELECT date_trunc('hour', produced_at) AS window_start, round(avg(CASE WHEN compliance_rule_id <> '' THEN 1.0 ELSE 0.0 END), 6) AS success_rate,
  count(*) AS n FROM enriched GROUP BY 1""")

@@ -81,7 +81,7 @@ def golden_invalid(lake):
 
 
 @query("split_invariant", uses="docs", sql="""
-SELECT count(*) AS total, count(*) FILTER (WHERE is_valid) AS valid, count(*) FILTER (WHERE NOT is_valid) AS invalid, 0 AS missing FROM docs""")
+SELECT count(*) AS total, count(*) FILTER (WHERE is_valid) AS valid, count(*) FILTER (WHERE NOT is_valid) AS invalid, CAST(0 AS BIGINT) AS missing FROM docs""")
 def split_invariant(lake):
     key = ["trace_id", "transmission_timestamp", "envelope"]
     rows = documents(lake)

@@ -124,7 +124,8 @@ def s3_ingestion_events(lake):
 SELECT date_trunc('hour', eventtime) AS hour, bucket_name, count(*) AS object_count,
  CAST(sum(size_bytes) AS BIGINT) AS total_bytes FROM object_writes GROUP BY 1, 2 ORDER BY hour DESC""")
 def s3_ingestion_hourly(lake):
-    return views.ingestion_hourly(readers.object_writes(access_log(lake)))
+    out = views.ingestion_hourly(readers.object_writes(access_log(lake)))
+    return out.withColumn("hour", F.col("hour").cast("timestamp_ntz"))
 
 
 @query("dedup_events", uses="deliveries", sql="""
