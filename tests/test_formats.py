@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from millrace.operators import canonical as can
 from millrace.operators.detect import DEFAULT_RULES, DetectionRule, detect_format

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions import masking
-from millrace.operators import canonical as can, compliance, curated, governance as gov, ordered, replay, schema_registry, structure
+from millrace.operators import compliance, curated, governance as gov, ordered, replay, schema_registry, structure
 from millrace.operators.joins import lookup_join
 from millrace.session import work_dir
 from workload.fixtures import Lake

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.functions.jsonx import as_text, json_has_key, json_part, strict_document
+from millrace.functions.jsonx import as_text, json_has_key, json_part
 from millrace.functions.text import md5_base64, plain_base64
 from millrace.operators import canonical as can
 from millrace.operators.detect import DetectionRule, detect_format
