@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import bpe, decontaminate, licenses, near_dedup, secrets, toxicity
+from millrace.llm import ann, bpe, decontaminate, licenses, near_dedup, secrets, toxicity
 from millrace.llm.common import table
 
 
@@ -20,9 +20,11 @@ QUERIES = {
     "op5_secrets": lambda spark, d: secrets.report(table(spark, d, "documents")),
     "op6_toxicity": lambda spark, d: toxicity.grade_documents(table(spark, d, "documents"), table(spark, d, "labels")),
     "op7_near_dedup": lambda spark, d: near_dedup.classes(table(spark, d, "documents"), size=3, num=85, den=100),
+    "op9_ann": lambda spark, d: ann.nearest(table(spark, d, "embeddings")),
 }
 
 ORACLES = {
     "op3_decontaminate": decontaminate.SQL,
     "op7_near_dedup": near_dedup.SQL,
+    "op9_ann": ann.SQL,
 }
