@@ -112,11 +112,16 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """All words of a piece: document, byte span and a 64-bit hash of the lower-cased bytes."""
 
-    def __init__(self, doc: np.ndarray, start: np.ndarray, end: np.ndarray, hashes: np.ndarray, n_docs: int):
-        self.doc, self.start, self.end, self.hashes = doc, start, end, hashes
+    def __init__(self, doc: np.ndarray, start: np.ndarray, end: np.ndarray, total: np.ndarray, inverse: np.ndarray, n_docs: int):
+        self.doc, self.start, self.end, self._total, self._inverse = doc, start, end, total, inverse
+        self.hashes = self.hashed(start, end)
         self.count = np.bincount(doc, minlength=n_docs)
         self.first = np.concatenate([[0], np.cumsum(self.count)])
 
+    def hashed(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of byte spans, words or parts of them."""
+        return mix((self._total[end] - self._total[start]) * self._inverse[start] + (end - start).astype(np.uint64))
+
 
 def words(batch: TextBatch, kind: np.ndarray = NONBLANK) -> Words:
     data = LOWER[batch.data]
@@ -133,9 +138,8 @@ def words(batch: TextBatch, kind: np.ndarray = NONBLANK) -> Words:
     power, inverse = _powers(n)
     total = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:n], out=total[1:])
-    hashes = mix((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64))
     doc = np.searchsorted(batch.offsets, start, "right") - 1
-    return Words(doc, start, end, hashes, len(batch))
+    return Words(doc, start, end, total, inverse, len(batch))
 
 
 def hash_bytes(data: bytes, kind: np.ndarray = NONBLANK) -> np.ndarray:

@@ -1,12 +1,12 @@
 """Toxicity grades by cumulative-link ordinal regression.
 
-Features are the distinct words of a text, hashed to ``BUCKETS``; one weight per feature is shared by all thresholds, so
+Features are the distinct words of a text and their beginnings (``PREFIXES``), hashed to ``BUCKETS``; one weight per feature is shared by all thresholds, so
 P(grade > k) = sigmoid(w.x - t_k) with t_0 < t_1, and the expected severity is the sum of these probabilities.
 
 Training rows are labelled documents: at most ``FIT_ROWS`` of them, those whose ids hash lowest, so the choice does not
-depend on order. The labels only tell toxic from not; a toxic row's grade is 2 if its density of words that set toxic
-rows apart is above the median of toxic rows, else 1. Only features that set grades apart are kept (``LEAST_ROWS`` and
-``LEAST_LIFT``), so that a long text does not gather the noise of thousands of weights. Only ids of buckets reach the
+depend on order. The labels only tell toxic from not; a toxic row's grade is 2 if it holds more of the features that
+set toxic rows apart than the median toxic row, else 1. Only features that set grades apart are kept (``LEAST_ROWS``,
+``LEAST_LIFT``, ``LEAST_Z``, ``LEAST_SHARE``), so that a long text does not gather the noise of thousands of weights. Only ids of buckets reach the
 driver, and the fitted model is at most one weight per bucket.
 
 Defined results: a null or empty text has the severity of no features; labels that are null are left out; without both
@@ -25,12 +25,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from millrace.llm.common import ALNUM, id_array, keyed, pieces, words
+from millrace.llm.common import ALNUM, TextBatch, id_array, keyed, pieces, words
 
 BUCKETS = 1 << 18
 FIT_ROWS = 20_000
 LEAST_ROWS = 5
 LEAST_LIFT = 8.0
+LEAST_Z = 6.0
+LEAST_SHARE = 0.25
+# Beginnings of words, in bytes, that are features besides whole words: inflected words share them.
+PREFIXES = (4, 5, 6)
 # A text is rejected from this expected severity on.
 REJECT = 0.5
 
@@ -45,9 +49,16 @@ class Model:
         return 1 / (1 + np.exp(np.clip(self.thresholds - scores[:, None], -60, 60)))
 
 
-def distinct_buckets(w, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
-    """(document, bucket) of each distinct word of each document."""
-    both = np.unique(w.doc.astype(np.int64) * BUCKETS + (w.hashes % np.uint64(BUCKETS)).astype(np.int64))
+def distinct_buckets(p: TextBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(document, bucket) of each distinct feature of each document: its words and their beginnings."""
+    w = words(p, ALNUM)
+    doc, hashes = [w.doc], [w.hashes]
+    for n in PREFIXES:
+        longer = w.end - w.start > n
+        doc.append(w.doc[longer])
+        hashes.append(w.hashed(w.start[longer], w.start[longer] + n) + np.uint64(n))
+    hashed = np.concatenate(hashes) % np.uint64(BUCKETS)
+    both = np.unique(np.concatenate(doc).astype(np.int64) * BUCKETS + hashed.astype(np.int64))
     return both // BUCKETS, both % BUCKETS
 
 
@@ -58,7 +69,7 @@ def features(docs: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             for p in pieces(batch):
-                doc, bucket = distinct_buckets(words(p, ALNUM), len(p))
+                doc, bucket = distinct_buckets(p)
                 ends = np.searchsorted(doc, np.arange(len(p) + 1))
                 flat = bucket.astype("<u4")
                 rows = [flat[a:b].tobytes() for a, b in zip(ends, ends[1:])]
@@ -77,10 +88,12 @@ def fit_rows(rows: list[np.ndarray], toxic: np.ndarray, steps: int = 300, ridge:
     in_toxic = np.bincount(col[toxic[row]], minlength=BUCKETS)
     in_other = np.bincount(col[~toxic[row]], minlength=BUCKETS)
     lift = ((in_toxic + 0.5) / (n_toxic + 1)) / ((in_other + 0.5) / (n - n_toxic + 1))
-    marks = (in_toxic >= LEAST_ROWS) & (lift >= LEAST_LIFT)
+    expected = (in_toxic + in_other) * n_toxic / n
+    z = (in_toxic - expected) / np.sqrt(np.maximum(expected, 1e-9))
+    marks = (in_toxic >= LEAST_ROWS) & (lift >= LEAST_LIFT) & (z >= max(LEAST_Z, LEAST_SHARE * z.max()))
     # Features against toxicity would let clean words outweigh toxic ones in a long text; the intercept does their work.
-    density = np.bincount(row, weights=marks[col], minlength=n) / np.maximum(1, np.bincount(row, minlength=n))
-    grade = toxic.astype(int) + (toxic & (density > np.median(density[toxic])))
+    held = np.bincount(row, weights=marks[col], minlength=n)
+    grade = toxic.astype(int) + (toxic & (held > np.median(held[toxic])))
     chosen = np.flatnonzero(marks)
     if not len(chosen):
         return None
@@ -105,8 +118,8 @@ def fit_rows(rows: list[np.ndarray], toxic: np.ndarray, steps: int = 300, ridge:
         g_t = np.array([(weight / p * ((grade == k + 1) * slope[:, k] - (grade == k) * slope[:, k])).sum() for k in edges]) / n
         grad = np.concatenate([g_w, g_t])
         first, second = 0.9 * first + 0.1 * grad, 0.999 * second + 0.001 * grad ** 2
-        move = 0.05 * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-8)
-        w, t = w - move[:-2], t - move[-2:]
+        move = 0.1 * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-8)
+        w, t = np.maximum(w - move[:-2], 0), t - move[-2:]
         t[1] = max(t[1], t[0] + 1e-3)
     weights = np.zeros(BUCKETS)
     weights[chosen] = w
@@ -139,7 +152,7 @@ def severity(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
         model, arrow = shared.value, to_arrow_schema(schema)
         for batch in batches:
             for p in pieces(batch):
-                doc, bucket = distinct_buckets(words(p, ALNUM), len(p))
+                doc, bucket = distinct_buckets(p)
                 up = model.above(np.bincount(doc, weights=model.weights[bucket], minlength=len(p)))
                 each = -np.diff(np.column_stack([np.ones(len(p)), up, np.zeros(len(p))]), axis=1)
                 expected = up.sum(axis=1)
