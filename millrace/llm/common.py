@@ -148,11 +148,11 @@ def hash_bytes(data: bytes, kind: np.ndarray = NONBLANK) -> np.ndarray:
     return words(TextBatch(np.zeros(1, np.int64), np.ones(1, bool), array, np.array([0, len(array)])), kind).hashes
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """``df`` written as Parquet to the folder all executors share and read again: its lineage ends there."""
     from millrace.session import work_dir
 
     spark = df.sparkSession
     path = work_dir(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

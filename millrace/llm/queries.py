@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from millrace.llm import ann, bpe, decontaminate, licenses, near_dedup, secrets, toxicity
+from millrace.llm import ann, bpe, decontaminate, licenses, near_dedup, secrets, token_output, toxicity
 from millrace.llm.common import table
+from millrace.session import work_dir
 
 
 def tokenizer_path() -> str:
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_secrets": lambda spark, d: secrets.report(table(spark, d, "documents")),
     "op6_toxicity": lambda spark, d: toxicity.grade_documents(table(spark, d, "documents"), table(spark, d, "labels")),
     "op7_near_dedup": lambda spark, d: near_dedup.classes(table(spark, d, "documents"), size=3, num=85, den=100),
+    "op8_token_output": lambda spark, d: token_output.report(table(spark, d, "documents"), tokenizer_path(), work_dir(spark, "token-files")),
     "op9_ann": lambda spark, d: ann.nearest(table(spark, d, "embeddings")),
 }
 
