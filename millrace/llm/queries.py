@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import ann, bpe, decontaminate, licenses, near_dedup, secrets, token_output, toxicity
+from millrace.llm import ann, bpe, decontaminate, licenses, lm, near_dedup, secrets, token_output, toxicity
 from millrace.llm.common import table
 from millrace.session import work_dir
 
@@ -23,6 +23,7 @@ QUERIES = {
     "op7_near_dedup": lambda spark, d: near_dedup.classes(table(spark, d, "documents"), size=3, num=85, den=100),
     "op8_token_output": lambda spark, d: token_output.report(table(spark, d, "documents"), tokenizer_path(), work_dir(spark, "token-files")),
     "op9_ann": lambda spark, d: ann.nearest(table(spark, d, "embeddings")),
+    "op10_lm_score": lambda spark, d: lm.score(table(spark, d, "documents")),
 }
 
 ORACLES = {
