@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import ann, bpe, decontaminate, licenses, lm, near_dedup, secrets, token_output, toxicity
+from millrace.llm import ann, bpe, decontaminate, licenses, lm, near_dedup, secrets, suffix_dedup, token_output, toxicity
 from millrace.llm.common import table
 from millrace.session import work_dir
 
@@ -15,6 +15,7 @@ def tokenizer_path() -> str:
 
 
 QUERIES = {
+    "op1_suffix_dedup": lambda spark, d: suffix_dedup.report(table(spark, d, "documents")),
     "op2_bpe": lambda spark, d: bpe.digests(table(spark, d, "documents"), tokenizer_path()),
     "op3_decontaminate": lambda spark, d: decontaminate.report(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op4_licenses": lambda spark, d: licenses.report(table(spark, d, "documents")),
@@ -27,6 +28,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_suffix_dedup": suffix_dedup.SQL,
     "op3_decontaminate": decontaminate.SQL,
     "op7_near_dedup": near_dedup.SQL,
     "op9_ann": ann.SQL,
