@@ -71,21 +71,21 @@ def least_grams(rolling: Rolling, n: int, span: int = SPAN, gram: int = GRAM) ->
     return (least & low).astype(np.int64), grams
 
 
-def sections(batch: pa.RecordBatch):
+def sections(batch: pa.RecordBatch, size: int):
     """(ids, first byte in its document, data, offsets) of whole documents, or of parts of long ones."""
     for p in pieces(batch):
-        if len(p) > 1 or len(p.data) <= SECTION:
+        if len(p) > 1 or len(p.data) <= size:
             yield p.ids, np.zeros(len(p), dtype=np.int64), p.data, p.offsets
             continue
-        for at in range(0, len(p.data) - SPAN + 1, SECTION):
-            part = p.data[at:at + SECTION + SPAN - 1]
+        for at in range(0, len(p.data) - SPAN + 1, size):
+            part = p.data[at:at + size + SPAN - 1]
             yield p.ids, np.array([at]), part, np.array([0, len(part)])
 
 
 RUN = "h long, c long, doc long, start long, shape int"
 
 
-def window_runs(docs: DataFrame) -> DataFrame:
+def window_runs(docs: DataFrame, section: int = SECTION) -> DataFrame:
     """One row per run of windows: its k-gram's hash, a hash of its bytes and shape, document, first byte, and shape
     (offset of the k-gram from the first window * 128 + number of windows)."""
     schema = StructType.fromDDL(RUN)
@@ -93,7 +93,7 @@ def window_runs(docs: DataFrame) -> DataFrame:
     def run(batches):
         arrow = to_arrow_schema(schema)
         for batch in batches:
-            for ids, base, data, offsets in sections(batch):
+            for ids, base, data, offsets in sections(batch, section):
                 if len(data) < SPAN:
                     continue
                 rolling = Rolling(data)
@@ -258,14 +258,14 @@ def equal_windows(groups: list[list[bytes]]) -> list[tuple[int, np.ndarray, np.n
 REPEAT = "doc long, start long, stop long, w1 long, w2 long"
 
 
-def piece_repeats(rows: DataFrame) -> DataFrame:
+def piece_repeats(rows: DataFrame, limit: int = PIECES) -> DataFrame:
     """REPEAT: spans of pieces' windows that stand in an earlier piece; for groups too large to hold, each window by its
     hashes (w1, w2) instead."""
     schema = StructType.fromDDL(REPEAT)
 
     def run(batches):
         arrow = to_arrow_schema(schema)
-        for spans, loose, groups in _gathered(batches):
+        for spans, loose, groups in _gathered(batches, limit):
             for i, piece, window, klass in equal_windows([[r[0] for r in g] for g in groups]):
                 doc = np.array([r[2] for r in groups[i]])[piece]
                 start = np.array([r[3] for r in groups[i]])[piece] + window
@@ -288,9 +288,9 @@ def _windows(piece: tuple) -> list[tuple]:
     return [(doc, start + i, start + i + SPAN, x, y) for i, x, y in zip(at.tolist(), w1, w2)]
 
 
-def _gathered(batches):
+def _gathered(batches, limit: int):
     """From pieces sorted by key, bytes and place: spans of pieces equal to the one before, windows of groups with more
-    than PIECES different pieces, and the different pieces of each other group. No more than PIECES are held of a group."""
+    than ``limit`` different pieces, and the different pieces of each other group. No more than those are held of a group."""
     key, group, many = None, [], False
     for batch in batches:
         spans, loose, ready = [], [], []
@@ -307,7 +307,7 @@ def _gathered(batches):
                 group = [tuple(row)]                          # only to know equal ones
                 continue
             group.append(tuple(row))
-            if len(group) > PIECES:
+            if len(group) > limit:
                 loose += [w for piece in group for w in _windows(piece)]
                 many, group = True, group[-1:]
         yield spans, loose, ready
@@ -343,11 +343,11 @@ def ordered(docs: DataFrame) -> tuple[DataFrame, bool]:
     return stored(numbered, "suffix-ordered"), True
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
+def repeated_spans(docs: DataFrame, limit: int = PIECES, section: int = SECTION) -> DataFrame:
     """(doc, start, stop): spans of bytes to remove, not yet joined, of documents under unique ids (doc_id, text)."""
-    found = stored(compared_runs(window_runs(docs)), "suffix-runs")
+    found = stored(compared_runs(window_runs(docs, section)), "suffix-runs")
     whole = found.where("shape is null").select("doc", "start", "stop")
-    close = stored(piece_repeats(run_pieces(docs, found.where("shape is not null"))), "suffix-pieces")
+    close = stored(piece_repeats(run_pieces(docs, found.where("shape is not null")), limit), "suffix-pieces")
     loose = close.where("w1 is not null")
     first = loose.groupBy("w1", "w2").agg(F.min(F.struct("doc", "start")).alias("first"))
     later = loose.join(first, ["w1", "w2"]).where(F.struct("doc", "start") > F.col("first"))
@@ -357,13 +357,13 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 RESULT = "key long, n_bytes long, removed array<struct<start: long, stop: long>>, kept binary"
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = PIECES, section: int = SECTION) -> DataFrame:
     """doc_id, n_bytes, removed (maximal spans, in bytes) and kept (the remaining bytes) of every row of ``docs``."""
     docs, numbered = ordered(keyed(docs, id_col, text_col))
     ids = docs.select("key", "doc_id") if numbered else None
     if numbered:
         docs = docs.select(F.col("key").alias("doc_id"), "text")
-    spans = repeated_spans(docs).groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))      # bounded by the document
+    spans = repeated_spans(docs, limit, section).groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))      # bounded by the document
     both = docs.join(spans.withColumnRenamed("doc", "doc_id"), "doc_id", "left").select("doc_id", "text", "spans")
     schema = StructType.fromDDL(RESULT)
 
@@ -388,9 +388,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return out.select(F.col("key").alias("doc_id"), "n_bytes", "removed", "kept")
 
 
-def report(docs: DataFrame) -> DataFrame:
+def report(docs: DataFrame, **settings: int) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    return remove_repeats(docs).select(
+    return remove_repeats(docs, **settings).select(
         "doc_id", "n_bytes", F.expr("aggregate(removed, 0L, (n, s) -> n + s.stop - s.start)").alias("n_removed"),
         F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
