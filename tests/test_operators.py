@@ -126,22 +126,20 @@ def test_percentiles_equal_numpy(spark, width):
 # --- compliance ---------------------------------------------------------------------
 
 RULE_TYPES = "id string, entity_type string, entity_id string, rule_type string, compliance_flag boolean, reason_code string, source_format string, event_type string, created_at timestamp_ntz, updated_at timestamp_ntz"
-SEED = [
-    ("member", "123456789", "x12_837_required_segments_present", True, None, "x12", "837"),
-    ("provider", "123456789", "billing_provider_npi_valid", True, None, "x12", "837"),
-    ("member", "999999999", "x12_837_required_segments_present", False, "MISSING_NM1_IL", "x12", "837"),
-    ("encounter", "123456", "x12_encounter_requires_clm", True, None, "x12", "837"),
-    ("encounter", "123456", "hl7_pid_required", True, None, "hl7", "ADT"),
-    ("patient", "123456789", "hl7_patient_id_valid", True, None, "hl7", "ADT"),
-    ("encounter", "123456", "fhir_encounter_status_required", True, None, "fhir", "Encounter"),
-    ("patient", "987654", "fhir_patient_reference_valid", True, None, "fhir", "Encounter"),
-    ("encounter", "123456", "generic_encounter_id_required", True, None, "json", "generic"),
-    ("member", "AET123987", "generic_member_id_valid", True, None, "json", "generic"),
-]
+# One clinic's rules: id -> (entity, key, rule type, flag, reason, format, event type).
+CLINIC = {
+    "id-check": ("patient", "K-4410", "identity_confirmed", True, None, "hl7", "ADT"),
+    "consent": ("patient", "K-5000", "consent_on_file", False, "NO_CONSENT", "fhir", "Patient"),
+    # Three sources disagree about one visit at the same time; the lowest id settles it.
+    "visit-b": ("encounter", "V-902", "visit_open", False, "CLOSED", "hl7", "ADT"),
+    "visit-a": ("encounter", "V-902", "visit_billed", True, None, "x12", "837"),
+    "visit-c": ("encounter", "V-902", "visit_coded", True, None, "fhir", "Encounter"),
+    "policy": ("member", "Q-20-55", "policy_active", True, None, "json", "generic"),
+}
 
 
-def seed_rules(spark):
-    return spark.createDataFrame([(f"r{i}", *r, T0, T0) for i, r in enumerate(SEED)], RULE_TYPES)
+def clinic_rules(spark):
+    return spark.createDataFrame([(i, *r, T0, T0) for i, r in CLINIC.items()], RULE_TYPES)
 
 
 def events(spark, rows):
@@ -150,41 +148,49 @@ def events(spark, rows):
 
 
 def test_enrich_hit_miss_and_rejected(spark):
-    df = events(spark, [("a", "hl7", "ADT", "patient", "123456789", None), ("b", "fhir", "x", "encounter", "123456", None),
-                        ("c", "x12", "837", "patient", "nobody", None), ("d", "x12", "837", None, None, "missing_identifiers")])
-    out = {r["event_id"]: r for r in compliance.enrich(df, seed_rules(spark)).collect()}
-    assert set(out) == {"a", "b", "c"}
-    assert out["a"]["compliance_flag"] and out["a"]["compliance_reason"] == "" and out["a"]["compliance_rule_id"] == "r5"
-    assert out["b"]["compliance_rule_id"] == "r3"  # equal times: lowest id
-    assert not out["c"]["compliance_flag"] and out["c"]["compliance_reason"] == "FALLBACK_DEFAULT"
-    assert out["c"]["compliance_applied"] and out["c"]["compliance_rule_id"] == ""
+    df = events(spark, [("hit", "hl7", "ADT", "patient", "K-4410", None), ("tie", "fhir", "x", "encounter", "V-902", None),
+                        ("miss", "x12", "837", "patient", "K-1", None), ("bad", "x12", "837", None, None, "missing_identifiers"),
+                        ("no", "fhir", "Patient", "patient", "K-5000", None)])
+    out = {r["event_id"]: r for r in compliance.enrich(df, clinic_rules(spark)).collect()}
+    assert set(out) == {"hit", "tie", "miss", "no"}
+    assert out["hit"]["compliance_flag"] and out["hit"]["compliance_reason"] == "" and out["hit"]["compliance_rule_id"] == "id-check"
+    assert out["tie"]["compliance_rule_id"] == "visit-a"
+    assert not out["miss"]["compliance_flag"] and out["miss"]["compliance_reason"] == "FALLBACK_DEFAULT"
+    assert out["miss"]["compliance_applied"] and out["miss"]["compliance_rule_id"] == ""
+    assert (out["no"]["compliance_flag"], out["no"]["compliance_reason"]) == (False, "NO_CONSENT")
+
+
+def test_later_rule_wins_over_lower_id(spark):
+    newer = clinic_rules(spark).filter("id = 'visit-c'").withColumn("updated_at", F.lit("2024-03-01 00:00:00").cast("timestamp_ntz"))
+    rules = clinic_rules(spark).filter("id <> 'visit-c'").unionByName(newer)
+    df = events(spark, [("v", "hl7", "ADT", "encounter", "V-902", None)])
+    assert compliance.enrich(df, rules).first()["compliance_rule_id"] == "visit-c"
 
 
 def test_enrich_match_format_and_aliases(spark):
-    df = events(spark, [("b", "fhir", "Encounter", "encounter", "123456", None), ("g", "generic", "generic", "encounter", "123456", None),
-                        ("m", "generic", "generic", "patient", "AET123987", None)])
-    rules = compliance.with_entity_aliases(seed_rules(spark), {"member": "patient"})
+    df = events(spark, [("b", "hl7", "ADT", "encounter", "V-902", None), ("m", "generic", "generic", "patient", "Q-20-55", None)])
+    rules = compliance.with_entity_aliases(clinic_rules(spark), {"member": "patient"})
     out = {r["event_id"]: r["compliance_rule_type"] for r in compliance.enrich(df, rules, match_format=True).collect()}
-    assert out == {"b": "fhir_encounter_status_required", "g": "generic_encounter_id_required", "m": "generic_member_id_valid"}
+    assert out == {"b": "visit_open", "m": "policy_active"}
 
 
 def test_first_store_wins(spark):
-    rules = seed_rules(spark)
-    blank = rules.filter("id = 'r5'").withColumns({"id": F.lit(""), "rule_type": F.lit(""), "compliance_flag": F.lit(False)})
-    other = rules.filter("id = 'r7'").withColumn("id", F.lit("c7"))
+    rules = clinic_rules(spark)
+    blank = rules.filter("id = 'id-check'").withColumns({"id": F.lit(""), "rule_type": F.lit(""), "compliance_flag": F.lit(False)})
+    other = rules.filter("id = 'consent'").withColumn("id", F.lit("consent-cached"))
     out = {r["entity_id"]: (r["store"], r["id"]) for r in
            compliance.first_store_wins([("cache", blank.unionByName(other)), ("primary", rules)]).filter("entity_type = 'patient'").collect()}
-    assert out == {"123456789": ("primary", "r5"), "987654": ("cache", "c7")}
+    assert out == {"K-4410": ("primary", "id-check"), "K-5000": ("cache", "consent-cached")}
 
 
 def test_upsert_keeps_identity_and_is_idempotent(spark):
-    base = seed_rules(spark)
-    change = base.filter("id = 'r2'").withColumns({
-        "id": F.lit("new"), "compliance_flag": F.lit(True), "reason_code": F.lit(None).cast("string"),
-        "updated_at": F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"), "created_at": F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")})
+    base = clinic_rules(spark)
+    at = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
+    change = base.filter("id = 'consent'").withColumns({
+        "id": F.lit("new"), "compliance_flag": F.lit(True), "reason_code": F.lit(None).cast("string"), "updated_at": at, "created_at": at})
     merged = compliance.upsert_rules(base, change)
-    row = merged.filter("entity_id = '999999999'").first()
-    assert merged.count() == 10 and row["id"] == "r2" and row["compliance_flag"] and row["reason_code"] is None
+    row = merged.filter("entity_id = 'K-5000'").first()
+    assert merged.count() == len(CLINIC) and row["id"] == "consent" and row["compliance_flag"] and row["reason_code"] is None
     assert row["created_at"] == T0 and row["updated_at"] == dt.datetime(2024, 2, 1)
     again = compliance.upsert_rules(merged, change)
     assert sorted(map(str, again.collect())) == sorted(map(str, merged.collect()))
@@ -234,10 +240,9 @@ def test_string_payload_keeps_its_quoting(spark):
 
 
 def test_naming_and_uuid_patterns(one):
-    names = {"member.enrollment.completed": True, "MemberEnrollmentCompleted": False, "member-enrollment-completed": False,
-             "enrollment.complete": False, "a.b.c.d": False}
+    names = {"ward.bed.assigned": True, "WardBedAssigned": False, "ward-bed-assigned": False, "ward.bed": False, "w.b.a.x": False}
     assert one(list(names), lambda c: c.rlike(gov.EVENT_TYPE)) == list(names.values())
-    ids = {"a3f1c847-2d09-4e6b-91f4-bc3301d78e12": True, "a3f1c847-2d09-1e6b-91f4-bc3301d78e12": False, "x": False}
+    ids = {"0b7de9a4-58c1-4f02-8d3e-6a1f9c20b755": True, "0b7de9a4-58c1-3f02-8d3e-6a1f9c20b755": False, "0b7de9a4": False}
     assert one(list(ids), lambda c: c.rlike(gov.UUID_V4)) == list(ids.values())
 
 
