@@ -11,10 +11,7 @@ from millrace import schemas
 from millrace.operators import golden as gold
 from millrace.plans import views
 from millrace.sources import writers
-from millrace.streaming.tables import append_to, batch_path, run_available
-
-LATENESS = "5 minutes"  # fixed value: how late a row may be for windowed results
-
+from millrace.streaming.tables import append_to, batch_path, compact, merged, run_available
 
 def document_stream(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
     """Stored documents as they arrive, each file once."""
@@ -43,46 +40,93 @@ def late_rows(stream: DataFrame, path: str, checkpoint: str) -> None:
     run_available(views.late_arrivals(stream), checkpoint, append_to(path))
 
 
-def windowed_counts(stream: DataFrame, at: str, size: str, *keys: str) -> DataFrame:
-    """Tumbling counts under the watermark. Rows without a time belong to quarantine."""
-    rows = stream.filter(F.col(at).isNotNull()).withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, LATENESS)
-    return rows.groupBy(F.window(at, size), *keys).agg(F.count("*").alias("n")).select(
-        F.col("window.start").alias("window_start"), *keys, "n")
+def count_windows(stream: DataFrame, path: str, checkpoint: str, at: str, size: str, *keys: str) -> None:
+    """Tumbling counts, one partial result per micro-batch; ``window_totals`` adds them up.
+
+    A row counts in its window however late it comes, as no watermark drops it. Rows without a time count under a null
+    window. Nothing is kept in state.
+    """
+    def each(batch: DataFrame, batch_id: int) -> None:
+        window = F.window(F.col(at).cast("timestamp"), size)["start"]
+        # Grouping by the window itself would drop rows without a time.
+        timed = batch.filter(F.col(at).isNotNull()).groupBy(window.alias("window_start"), *keys).agg(F.count("*").alias("n"))
+        untimed = batch.filter(F.col(at).isNull()).groupBy(*keys).agg(F.count("*").alias("n")).select(
+            F.lit(None).cast("timestamp").alias("window_start"), *keys, "n")
+        timed.unionByName(untimed).write.mode("overwrite").parquet(batch_path(path, batch_id))
+
+    run_available(stream, checkpoint, each)
+
 
+def window_totals(spark: SparkSession, path: str, *keys: str) -> DataFrame:
+    return merged(spark, path, lambda parts: parts.groupBy("window_start", *keys).agg(F.sum("n").alias("n")))
 
-def deduplicated(stream: DataFrame, key: str, at: str, within: str) -> DataFrame:
-    """First row per key; keys are forgotten once the watermark has passed them."""
-    rows = stream.filter(F.col(at).isNotNull()).withColumn(at, F.col(at).cast("timestamp"))
-    return rows.withWatermark(at, within).dropDuplicatesWithinWatermark([key])
+
+def first_rows(stream: DataFrame, path: str, quarantine: str, checkpoint: str, key: str) -> None:
+    """First row per key over all micro-batches; repeats may come at any time. Rows without a key go to quarantine.
+
+    Each batch meets the keys stored before it in one join on the key; its own files, from a run that failed, don't count.
+    """
+    def each(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        fresh = kept.filter(F.col(key).isNotNull()).dropDuplicates([key])
+        if batch_id > 0:
+            known = spark.read.schema(fresh.select(key).schema.add("batch_id", "long")).parquet(path).filter(F.col("batch_id") < batch_id)
+            fresh = fresh.join(known.select(key), key, "left_anti").select(*batch.columns)
+        fresh.write.mode("overwrite").parquet(batch_path(path, batch_id))
+        kept.filter(F.col(key).isNull()).write.mode("overwrite").parquet(batch_path(quarantine, batch_id))
+        kept.unpersist()
+
+    run_available(stream, checkpoint, each)
 
 
 def replay_spikes(counts: DataFrame) -> DataFrame:
     """Deliveries beyond the first per window, from counts per event and window.
 
-    The first delivery of an event lies in its earliest window.
+    The first delivery of an event lies in its earliest window. Deliveries without a time are all replays of a timed
+    one, or else all but one are; they are reported under a null window.
     """
     first = counts.groupBy("event_id").agg(F.min("window_start").alias("window_start")).groupBy("window_start").agg(
         F.count("*").alias("firsts"))
     total = counts.groupBy("window_start").agg(F.sum("n").alias("deliveries"))
-    joined = total.join(first, "window_start", "left")
+    joined = total.join(first.withColumnRenamed("window_start", "first_start"), F.col("window_start").eqNullSafe(F.col("first_start")), "left")
     replays = F.col("deliveries") - F.coalesce("firsts", F.lit(0))
     return joined.select("window_start", replays.alias("replays")).filter("replays > 0")
 
 
-def lifecycle(stream: DataFrame, key: str, at: str, state: str, tie: str) -> DataFrame:
-    """Current state, step count and time span per key, kept as aggregate state.
+def follow_lifecycles(stream: DataFrame, path: str, checkpoint: str, key: str, at: str, state: str, tie: str) -> None:
+    """Partial lifecycle per key and micro-batch; ``lifecycles`` merges them. Nothing is kept in state."""
+    def each(batch: DataFrame, batch_id: int) -> None:
+        batch.groupBy(key).agg(
+            F.max(F.struct(F.col(at).alias("at"), F.col(tie).alias("tie"), F.col(state).alias("state"))).alias("last"), F.count("*").alias("steps"),
+            F.min(at).alias("first_at")).write.mode("overwrite").parquet(batch_path(path, batch_id))
 
-    Each task reduces its rows to one per key before the shuffle.
-    """
-    return stream.groupBy(key).agg(
-        F.max_by(state, F.struct(at, tie)).alias("state"), F.count("*").alias("steps"),
-        F.min(at).alias("first_at"), F.max(at).alias("last_at"))
+    run_available(stream, checkpoint, each)
+
+
+def _merge_lifecycles(key: str) -> Callable[[DataFrame], DataFrame]:
+    return lambda parts: parts.groupBy(key).agg(F.max("last").alias("last"), F.sum("steps").alias("steps"), F.min("first_at").alias("first_at"))
 
 
-def enrich_batches(stream: DataFrame, path: str, checkpoint: str, enrich: Callable[[DataFrame], DataFrame]) -> None:
-    """Apply ``enrich`` to each micro-batch. It reads the rules anew every time, so
-    changed rules take effect with the next batch."""
+def lifecycles(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """Current state, step count and time span per key."""
+    return merged(spark, path, _merge_lifecycles(key)).select(key, "last.state", "steps", "first_at", F.col("last.at").alias("last_at"))
+
+
+def compact_lifecycles(spark: SparkSession, path: str, key: str) -> None:
+    compact(spark, path, _merge_lifecycles(key))
+
+
+def enrich_batches(stream: DataFrame, path: str, quarantine: str, checkpoint: str, canonical: Callable[[DataFrame], DataFrame],
+                   enrich: Callable[[DataFrame], DataFrame]) -> None:
+    """Apply ``canonical`` and ``enrich`` to each micro-batch: accepted events to ``path``, rejected ones to quarantine.
+
+    ``enrich`` reads the rules anew every time, so changed rules take effect with the next batch.
+    """
     def each(batch: DataFrame, batch_id: int) -> None:
-        enrich(batch).write.mode("overwrite").parquet(batch_path(path, batch_id))
+        events = canonical(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        enrich(events.filter("error_reason IS NULL")).write.mode("overwrite").parquet(batch_path(path, batch_id))
+        events.filter("error_reason IS NOT NULL").write.mode("overwrite").parquet(batch_path(quarantine, batch_id))
+        events.unpersist()
 
     run_available(stream, checkpoint, each)

@@ -29,6 +29,31 @@ def append_to(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def merged(spark: SparkSession, path: str, merge: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The merged rows of a table of partial results: the last compacted state and the batches after it."""
+    batches, done = spark.read.parquet(path), _generations(spark, path)
+    if not done:
+        return merge(batches.drop("batch_id"))
+    state = spark.read.parquet(f"{path}-compact/upto={max(done)}")
+    return merge(state.unionByName(batches.filter(F.col("batch_id") > max(done)).drop("batch_id")))
+
+
+def compact(spark: SparkSession, path: str, merge: Callable[[DataFrame], DataFrame]) -> int:
+    """Merges all batches so far into one state, which later reads start from; the folders of merged batches may then be
+    removed by whoever owns retention. Returns the last batch merged."""
+    upto = spark.read.parquet(path).agg(F.max("batch_id")).first()[0]
+    merged(spark, path, merge).write.mode("overwrite").parquet(f"{path}-compact/upto={upto}")
+    return upto
+
+
+def _generations(spark: SparkSession, path: str) -> list[int]:
+    """The batches up to which there is a compacted state that was written to its end."""
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{path}-compact/upto=*/_SUCCESS")
+    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
+    return [int(f.getPath().getParent().getName().split("=")[1]) for f in found or ()]
+
+
 def latest_updates(spark: SparkSession, path: str, key: Sequence[str]) -> DataFrame:
     """Current rows of a table written in update mode: the last batch wins per key."""
     rows = spark.read.parquet(path)

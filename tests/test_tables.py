@@ -130,3 +130,37 @@ def test_table_registration(spark, folder):
     readers.register_table(spark, "golden_events", folder("golden"), ("event_date", "format_partition"))
     assert spark.sql("SELECT count(*) FROM golden_events WHERE format_partition = 'hl7'").first()[0] == 1
     spark.sql("DROP TABLE golden_events")
+
+
+def test_partial_counts_survive_repeats_late_rows_and_compaction(spark, tmp_path):
+    source, table = str(tmp_path / "in"), str(tmp_path / "t")
+    batches = [[("a", "2024-01-01 10:00:00"), ("b", "2024-01-01 10:01:00")], [("a", None), ("c", "2024-01-01 12:00:00")], [("b", "2024-01-01 09:59:00")]]
+    go = lambda: jobs.count_windows(
+        spark.readStream.schema("k string, at timestamp").option("maxFilesPerTrigger", 1).parquet(source), table, str(tmp_path / "c"), "at", "5 minutes", "k")
+    read = lambda: {(r["k"], r["window_start"] and r["window_start"].strftime("%H:%M")): r["n"] for r in jobs.window_totals(spark, table, "k").collect()}
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, "k string, at string").select("k", F.col("at").cast("timestamp")).coalesce(1).write.mode("append").parquet(source)
+        go()
+        if k == 1:
+            upto = tables.compact(spark, table, lambda parts: parts.groupBy("window_start", "k").agg(F.sum("n").alias("n")))
+            assert upto == 1
+    want = {("a", "10:00"): 1, ("b", "10:00"): 1, ("a", None): 1, ("c", "12:00"): 1, ("b", "09:55"): 1}
+    assert read() == want
+    last = spark.read.parquet(tables.batch_path(table, 2))
+    tables.append_to(table)(spark.createDataFrame(last.collect(), last.schema), 2)      # the last batch runs again
+    assert read() == want
+
+
+def test_first_rows_ignore_their_own_failed_run(spark, tmp_path):
+    source, table, bad = (str(tmp_path / x) for x in ("in", "t", "q"))
+    frame = lambda rows: spark.createDataFrame(rows, "k string, v int").coalesce(1)
+    frame([("a", 1), (None, 2)]).write.mode("append").parquet(source)
+    frame([("b", 7)]).write.parquet(tables.batch_path(table, 1))                     # left by a run of batch 1 that failed
+    for rows in ([("a", 3), ("b", 4)], [("b", 5), ("c", 6)]):
+        stream = spark.readStream.schema("k string, v int").option("maxFilesPerTrigger", 1).parquet(source)
+        jobs.first_rows(stream, table, bad, str(tmp_path / "c"), "k")
+        frame(rows).write.mode("append").parquet(source)
+    stream = spark.readStream.schema("k string, v int").option("maxFilesPerTrigger", 1).parquet(source)
+    jobs.first_rows(stream, table, bad, str(tmp_path / "c"), "k")
+    assert sorted((r["k"], r["v"]) for r in spark.read.parquet(table).collect()) == [("a", 1), ("b", 4), ("c", 6)]
+    assert [r["v"] for r in spark.read.parquet(bad).collect()] == [2]

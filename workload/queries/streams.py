@@ -1,4 +1,4 @@
-"""Streams over the given tables; results equal those of the batch plans."""
+"""Streams over the given tables, in several micro-batches with late, repeated and untimed rows; results equal those of the batch plans."""
 
 from __future__ import annotations
 
@@ -6,20 +6,39 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.operators import canonical as can, compliance
 from millrace.session import work_dir
-from millrace.streaming import jobs, tables
+from millrace.streaming import jobs
 from workload.fixtures import Lake
 from workload.queries.compliance import rules
 from workload.queries.golden import RUN_TIME, documents
 from workload.queries.views import LATE_SQL
-from workload.registry import query
+from workload.registry import oracle_view, query
+
+
+ARRIVALS = 4  # files, each a micro-batch of its own
+
+# Arrivals without a time, in both engines.
+UNTIMED = "event_id % 101 = 7"
+oracle_view("arrivals", ("deliveries",), f"""
+SELECT * REPLACE (CASE WHEN {UNTIMED} THEN NULL ELSE transmission_timestamp END AS transmission_timestamp) FROM deliveries""")
+
+
+def arriving(lake: Lake, rows: DataFrame, number: str) -> DataFrame:
+    """``rows`` as a stream of ARRIVALS files, one per micro-batch. ``number`` deals them out, so that repeats and late rows
+    of one key come in other batches than its first row."""
+    path = f"{work_dir(lake.spark, 'arriving')}/files"
+    for k in range(ARRIVALS):
+        rows.filter(F.expr(f"pmod({number}, {ARRIVALS}) = {k}")).coalesce(1).write.mode("append").parquet(path)
+    return lake.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 def deliveries(lake: Lake) -> DataFrame:
-    return lake.derive("deliveries", lake.stream("events"))
+    rows = lake.fixture("deliveries")
+    timed = F.when(~F.expr(UNTIMED), F.col("transmission_timestamp"))
+    return arriving(lake, rows.withColumn("transmission_timestamp", timed), "event_id * 7 + delivery_no * 3")
 
 
 def states(lake: Lake) -> DataFrame:
-    return lake.derive("state_log", lake.stream("events"))
+    return arriving(lake, lake.fixture("state_log"), "event_no * 5")
 
 
 def _paths(lake: Lake, name: str) -> tuple[str, str]:
@@ -35,7 +54,7 @@ def stream_ingest(lake):
     source = jobs.document_stream(lake.spark, f"{base}/arriving", max_files=2)
     jobs.ingest(source, f"{base}/golden", f"{base}/quarantine", f"{base}/checkpoint", F.lit(RUN_TIME))
     good = lake.spark.read.parquet(f"{base}/golden").select(F.lit("golden").alias("target"), "format")
-    bad = lake.spark.read.json(f"{base}/quarantine").select(
+    bad = lake.spark.read.schema("event_id string").json(f"{base}/quarantine").select(
         F.lit("quarantine").alias("target"), F.lit(None).cast("string").alias("format"))
     return good.unionByName(bad).groupBy("target", "format").agg(F.count("*").alias("n"))
 
@@ -43,36 +62,33 @@ def stream_ingest(lake):
 @query("stream_late", uses="deliveries", sql=LATE_SQL)
 def stream_late(lake):
     path, checkpoint = _paths(lake, "stream-late")
-    jobs.late_rows(deliveries(lake), path, checkpoint)
+    jobs.late_rows(arriving(lake, lake.fixture("deliveries"), "event_id * 7 + delivery_no * 3"), path, checkpoint)
     return lake.spark.read.parquet(path).drop("batch_id")
 
 
-@query("stream_dedup", uses="deliveries", sql="SELECT DISTINCT event_id FROM deliveries")
+@query("stream_dedup", uses="arrivals", sql="SELECT DISTINCT event_id FROM arrivals")
 def stream_dedup(lake):
     path, checkpoint = _paths(lake, "stream-dedup")
-    once = jobs.deduplicated(deliveries(lake).select("event_id", "transmission_timestamp"), "event_id", "transmission_timestamp", "3 hours")
-    tables.run_available(once, checkpoint, tables.append_to(path))
+    jobs.first_rows(deliveries(lake).select("event_id", "transmission_timestamp"), path, f"{path}-quarantine", checkpoint, "event_id")
     return lake.spark.read.parquet(path).select("event_id")
 
 
-@query("stream_alarm_metrics", uses="deliveries", sql="""
-SELECT time_bucket(INTERVAL 5 minutes, transmission_timestamp) AS window_start, source_system, count(*) AS n FROM deliveries GROUP BY 1, 2""")
+@query("stream_alarm_metrics", uses="arrivals", sql="""
+SELECT time_bucket(INTERVAL 5 minutes, transmission_timestamp) AS window_start, source_system, count(*) AS n FROM arrivals GROUP BY 1, 2""")
 def stream_alarm_metrics(lake):
     path, checkpoint = _paths(lake, "stream-metrics")
-    counts = jobs.windowed_counts(deliveries(lake), "transmission_timestamp", "5 minutes", "source_system")
-    tables.run_available(counts, checkpoint, tables.append_to(path), mode="update")
-    out = tables.latest_updates(lake.spark, path, ["window_start", "source_system"])
+    jobs.count_windows(deliveries(lake), path, checkpoint, "transmission_timestamp", "5 minutes", "source_system")
+    out = jobs.window_totals(lake.spark, path, "source_system")
     return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
-@query("stream_replay_spike", uses="deliveries", sql="""
+@query("stream_replay_spike", uses="arrivals", sql="""
 SELECT time_bucket(INTERVAL 5 minutes, transmission_timestamp) AS window_start, count(*) AS replays FROM (
- SELECT * FROM deliveries QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY transmission_timestamp, delivery_no) > 1) GROUP BY 1""")
+ SELECT * FROM arrivals QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY transmission_timestamp NULLS LAST, delivery_no) > 1) GROUP BY 1""")
 def stream_replay_spike(lake):
     path, checkpoint = _paths(lake, "stream-replays")
-    counts = jobs.windowed_counts(deliveries(lake), "transmission_timestamp", "5 minutes", "event_id")
-    tables.run_available(counts, checkpoint, tables.append_to(path), mode="update")
-    spikes = jobs.replay_spikes(tables.latest_updates(lake.spark, path, ["window_start", "event_id"]))
+    jobs.count_windows(deliveries(lake), path, checkpoint, "transmission_timestamp", "5 minutes", "event_id")
+    spikes = jobs.replay_spikes(jobs.window_totals(lake.spark, path, "event_id"))
     return spikes.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
@@ -80,19 +96,27 @@ def stream_replay_spike(lake):
 SELECT correlation_id, arg_max(state, "at") AS state, count(*) AS steps, min("at") AS first_at, max("at") AS last_at FROM state_log GROUP BY 1""")
 def stream_lifecycle(lake):
     path, checkpoint = _paths(lake, "stream-lifecycle")
-    current = jobs.lifecycle(states(lake), "correlation_id", "at", "state", "event_no")
-    tables.run_available(current, checkpoint, tables.append_to(path), mode="update")
-    return tables.latest_updates(lake.spark, path, ["correlation_id"])
+    jobs.follow_lifecycles(states(lake), path, checkpoint, "correlation_id", "at", "state", "event_no")
+    return jobs.lifecycles(lake.spark, path, "correlation_id")
 
 
-@query("stream_enrich", uses="enriched", sql="SELECT msg_id, compliance_flag, compliance_reason, compliance_rule_id FROM enriched")
+@query("stream_enrich", uses=("canon", "enriched"), sql="""
+SELECT msg_id, 'accepted' AS outcome, compliance_flag, compliance_reason, compliance_rule_id FROM enriched
+UNION ALL SELECT msg_id, error_reason, NULL, NULL, NULL FROM canon WHERE error_reason IS NOT NULL""")
 def stream_enrich(lake):
     path, checkpoint = _paths(lake, "stream-enrich")
+    orders = arriving(lake, lake.table("orders"), "o_orderkey")
 
-    def enrich(batch: DataFrame) -> DataFrame:
-        here = Lake(batch.sparkSession, lake.sf_dir)
-        out = compliance.enrich(can.canonicalize(here.derive("raw_messages", batch)), rules(here))
-        return out.select("msg_id", "compliance_flag", "compliance_reason", "compliance_rule_id")
+    def canonical(batch: DataFrame) -> DataFrame:
+        return can.canonicalize(Lake(batch.sparkSession, lake.sf_dir).derive("raw_messages", batch))
 
-    jobs.enrich_batches(lake.stream("orders"), path, checkpoint, enrich)
-    return lake.spark.read.parquet(path).drop("batch_id")
+    def enrich(events: DataFrame) -> DataFrame:
+        return compliance.enrich(events, rules(Lake(events.sparkSession, lake.sf_dir)))
+
+    jobs.enrich_batches(orders, path, f"{path}-quarantine", checkpoint, canonical, enrich)
+    good = lake.spark.read.parquet(path).select("msg_id", F.lit("accepted").alias("outcome"), "compliance_flag", "compliance_reason", "compliance_rule_id")
+    none = F.lit(None)
+    bad = lake.spark.read.parquet(f"{path}-quarantine").select(
+        "msg_id", F.col("error_reason").alias("outcome"), none.cast("boolean").alias("compliance_flag"),
+        none.cast("string").alias("compliance_reason"), none.cast("string").alias("compliance_rule_id"))
+    return good.unionByName(bad)
