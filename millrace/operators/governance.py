@@ -204,3 +204,10 @@ def rule_outcomes(events: DataFrame, rules: Sequence[CatalogueRule]) -> DataFram
         "severity": F.get(F.array(*[F.lit(s) for s in SEVERITIES]), F.col("_top.rank")),
         "rejected": F.coalesce(F.col("_top.rank") == len(SEVERITIES) - 1, F.lit(False)),
     }).drop("_hits", "_top")
+
+
+def causation_links(events: DataFrame) -> DataFrame:
+    """Each event with a cause, the type of that cause, and whether the cause is unknown (an orphan)."""
+    effects = events.filter("causation_no IS NOT NULL").select("event_no", "causation_no")
+    causes = events.select(F.col("event_no").alias("causation_no"), F.col("event_type").alias("cause_type"), F.lit(True).alias("found"))
+    return effects.join(causes, "causation_no", "left").select("event_no", "causation_no", "cause_type", F.col("found").isNull().alias("orphan"))

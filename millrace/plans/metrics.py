@@ -112,9 +112,10 @@ def success_rate(rows: DataFrame, at: str, ok: Column, size: str = "1 hour") ->
 
 # --- canonical events ---------------------------------------------------------------
 
-STAGE_ORDER = ("normalize", "transform", "compliance", "dispatch")
+# Reasons of failure counters, by stage; a lookup that fails has one of its own.
 FAILURE_REASONS = {
-    "normalize": "normalization_failed", "transform": "transformation_failed", "compliance": "compliance_stage_failed"}
+    "normalize": "normalization_failed", "transform": "transformation_failed", "compliance": "compliance_stage_failed", "dispatch": "dispatch_failed"}
+LOOKUP_REASONS = {"normalize": ("no normalizer for format", "normalizer_lookup_failed"), "transform": ("no transformer for format", "transformer_lookup_failed")}
 
 
 def lineage_counts(canonical: DataFrame, event_type: Column) -> DataFrame:
@@ -123,10 +124,15 @@ def lineage_counts(canonical: DataFrame, event_type: Column) -> DataFrame:
         F.lit("dispatch").alias("stage"), "source_system", event_type.alias("event_type")).agg(F.count("*").alias("events"))
 
 
-def lineage_failures(canonical: DataFrame) -> DataFrame:
-    reason = F.coalesce(*[F.when(F.col("error_stage") == s, F.lit(r)) for s, r in FAILURE_REASONS.items()])
-    return canonical.filter(F.col("error_stage").isNotNull()).groupBy(
-        F.col("error_stage").alias("stage"), reason.alias("reason")).agg(F.count("*").alias("failures"))
+def lineage_failures(canonical: DataFrame, dispatch_failed: Column | None = None) -> DataFrame:
+    """Failures per stage and reason. ``dispatch_failed`` marks accepted events whose dispatch failed."""
+    stage = F.col("error_stage")
+    if dispatch_failed is not None:
+        stage = F.coalesce(stage, F.when(dispatch_failed, F.lit("dispatch")))
+    lookups = [F.when((F.col("stage") == s) & F.col("error_reason").startswith(text), F.lit(r)) for s, (text, r) in LOOKUP_REASONS.items()]
+    reason = F.coalesce(*lookups, *[F.when(F.col("stage") == s, F.lit(r)) for s, r in FAILURE_REASONS.items()])
+    return canonical.withColumn("stage", stage).filter(F.col("stage").isNotNull()).groupBy("stage", reason.alias("reason")).agg(
+        F.count("*").alias("failures"))
 
 
 def compliance_hits(enriched: DataFrame) -> DataFrame:
@@ -141,6 +147,7 @@ def compliance_fallbacks(enriched: DataFrame) -> DataFrame:
         F.count_if(~miss).alias("rule_hits"))
 
 
+# Error codes of the compliance stage.
 COMPLIANCE_ERRORS = {
     "missing_identifiers": "INVALID_EVENT_MISSING_IDENTIFIERS", "derive_failed": "INVALID_EVENT_DERIVE_FAILED"}
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.operators import compliance
+from millrace.operators.detect import DEFAULT_RULES, DetectionRule
 from millrace.plans import metrics
 from millrace.sources.readers import flatten_key_value_rules
 from workload.fixtures import Lake
@@ -143,10 +144,14 @@ def lineage_counts(lake):
 
 
 @query("lineage_failures", uses="canon", sql="""
-SELECT error_stage AS stage, CASE error_stage WHEN 'normalize' THEN 'normalization_failed' WHEN 'transform' THEN 'transformation_failed'
- ELSE 'compliance_stage_failed' END AS reason, count(*) AS failures FROM canon WHERE error_stage IS NOT NULL GROUP BY 1, 2""")
+SELECT stage, CASE WHEN stage = 'normalize' AND msg_id % 6 = 5 THEN 'normalizer_lookup_failed' WHEN stage = 'normalize' THEN 'normalization_failed'
+ WHEN stage = 'transform' THEN 'transformation_failed' WHEN stage = 'dispatch' THEN 'dispatch_failed' ELSE 'compliance_stage_failed' END AS reason, count(*) AS failures
+FROM (SELECT msg_id, CASE WHEN msg_id % 6 = 5 THEN 'normalize' WHEN error_stage IS NULL AND msg_id % 97 = 0 THEN 'dispatch' ELSE error_stage END AS stage FROM canon)
+WHERE stage IS NOT NULL GROUP BY 1, 2""")
 def lineage_failures(lake):
-    return metrics.lineage_failures(canonical(lake))
+    """One detected format has no normalizer, and some accepted events can't be dispatched."""
+    odd = DetectionRule("odd", "odd", prefix="{bad")
+    return metrics.lineage_failures(canonical(lake, rules=(odd, *DEFAULT_RULES)), F.col("msg_id") % 97 == 0)
 
 
 @query("compliance_hits", uses="enriched", sql="""

@@ -242,14 +242,52 @@ def classified(lake: Lake) -> DataFrame:
 
 
 @query("mask_lab_values", uses="canon", sql="""
-SELECT msg_id, observation_code, CASE WHEN msg_id % 4 < 2 AND observation_code IN ('1-URGENT', '2-HIGH') THEN '***' ELSE 'kept' END AS value_state
+SELECT msg_id, observation_code, CASE WHEN msg_id % 4 < 2 AND observation_code IN ('1-URGENT', '2-HIGH') THEN '***' ELSE CAST(observation_value AS VARCHAR) END AS value
 FROM canon WHERE error_reason IS NULL AND format = 'fhir' AND observation_code IS NOT NULL""")
 def mask_lab_values(lake):
     rows = classified(lake).filter("format = 'fhir' AND observation IS NOT NULL")
     secret = F.col("data_classification").isin(*gov.SENSITIVE) & F.col("observation.code").isin(*SENSITIVE_CODES)
-    value = masking.redact_when(secret, F.col("observation.value"))
-    return rows.select("msg_id", F.col("observation.code").alias("observation_code"),
-                       F.when(value == masking.REDACTED, value).otherwise("kept").alias("value_state"))
+    return rows.select("msg_id", F.col("observation.code").alias("observation_code"), masking.redact_when(secret, F.col("observation.value").cast("double").cast("string")).alias("value"))
+
+
+LAB_OBX = "MSH|^~&|LAB\rPID|1||77\rOBX|1|NM|{code}^Lab^L||{value}|mg\rOBX|2|NM|OTHER^Lab^L||8.25|mg"
+LAB_JSON = '{{"results":[{{"lab_code":"{code}","lab_value":{value},"unit":"mg"}},{{"lab_value":2.50,"lab_code":"OTHER"}}]}}'
+
+
+def _lab_text(template: str, code: str, value: str) -> list:
+    """The parts of a template around its code and value."""
+    before, _, rest = template.replace("{{", "{").replace("}}", "}").partition("{code}")
+    middle, _, after = rest.partition("{value}")
+    return [before, code, middle, value, after]
+
+
+def _duck(parts: list, columns: tuple[str, ...]) -> str:
+    quoted = lambda x: " || chr(13) || ".join("'" + p.replace("'", "''") + "'" for p in x.split("\r"))
+    return " || ".join(p if p in columns else quoted(p) for p in parts)
+
+
+_LAB_SQL = {kind: _duck(_lab_text(template, "code", "masked"), ("code", "masked")) for kind, template in (("obx", LAB_OBX), ("json", LAB_JSON))}
+
+
+@query("mask_lab_messages", uses="envelopes", sql=f"""
+SELECT event_no, 'hl7' AS format, {_LAB_SQL['obx']} AS payload FROM (SELECT event_no, CASE event_no % 3 WHEN 0 THEN '1-URGENT' WHEN 1 THEN '2-HIGH' ELSE '5-LOW' END AS code,
+ CASE WHEN event_no % 3 < 2 THEN '***' ELSE concat(event_no, '.5') END AS masked FROM envelopes)
+UNION ALL SELECT event_no, 'generic', {_LAB_SQL['json']} FROM (SELECT event_no, CASE event_no % 3 WHEN 0 THEN '1-URGENT' WHEN 1 THEN '2-HIGH' ELSE '5-LOW' END AS code,
+ CASE WHEN event_no % 3 < 2 THEN '"***"' ELSE concat(event_no, '.50') END AS masked FROM envelopes)""")
+def mask_lab_messages(lake):
+    """Lab values in HL7 observation segments and in generic JSON, by their code."""
+    n = F.col("event_no")
+    code = F.when(n % 3 == 0, "1-URGENT").when(n % 3 == 1, "2-HIGH").otherwise("5-LOW")
+
+    def text(template, value):
+        parts = dict(zip(("{c}", "{v}"), (code, value)))
+        return F.concat(*[parts.get(p, F.lit(p)) for p in _lab_text(template, "{c}", "{v}")])
+
+    rows = lake.fixture("envelopes").select("event_no")
+    hl7 = masking.mask_obx(text(LAB_OBX, F.concat(n.cast("string"), F.lit(".5"))), SENSITIVE_CODES)
+    generic = masking.mask_json(text(LAB_JSON, F.concat(n.cast("string"), F.lit(".50"))), lab_codes=SENSITIVE_CODES)
+    return rows.select("event_no", F.lit("hl7").alias("format"), hl7.alias("payload")).unionByName(
+        rows.select("event_no", F.lit("generic").alias("format"), generic.alias("payload")))
 
 
 @query("mask_demographics", uses="canon", sql="""
@@ -261,12 +299,27 @@ def mask_demographics(lake):
     return rows.select("msg_id", hide("first_name"), hide("last_name"))
 
 
-@query("mask_payload_keys", uses="env", sql="""
-SELECT event_no, CASE WHEN data_classification IN ('phi', 'pii') THEN replace(payload, '"dob":"1990-01-01"', '"dob":"***"') ELSE payload END AS payload FROM env""")
+# A document with the named keys at several depths and with every kind of value, before and after masking.
+NESTED = ('{"k":', ',"patient":{"dob":"1990-01-01","address":{"street":"1 \\"Main\\" St","geo":[1,2.50,{"phone":"x"}]}},"phone":["555",{"a":1}],'
+          '"dob":null,"note":"say \\"dob\\":1","items":[{"address":12.50},{"phone":true,"x":1.10}]}')
+NESTED_MASKED = ('{"k":', ',"patient":{"dob":"***","address":"***"},"phone":"***","dob":null,"note":"say \\"dob\\":1",'
+                 '"items":[{"address":"***"},{"phone":"***","x":1.10}]}')
+
+
+@query("mask_payload_keys", uses="env", sql=f"""
+SELECT event_no, CASE WHEN sensitive AND broken THEN 'quarantine' ELSE 'kept' END AS target,
+ CASE WHEN sensitive AND broken THEN NULL WHEN broken THEN '{{broken "dob":"1990"' WHEN sensitive THEN concat('{NESTED_MASKED[0]}', event_no, '{NESTED_MASKED[1]}')
+  ELSE concat('{NESTED[0]}', event_no, '{NESTED[1]}') END AS payload
+FROM (SELECT event_no, data_classification IN ('phi', 'pii') AS sensitive, event_no % 13 = 0 AS broken FROM env)""")
 def mask_payload_keys(lake):
-    hidden = masking.redact_json_keys(F.col("payload"), ("address", "phone", "dob"))
-    text = F.when(F.col("data_classification").isin(*gov.SENSITIVE), hidden).otherwise(F.col("payload"))
-    return envelopes(lake).select("event_no", text.alias("payload"))
+    n = F.col("event_no")
+    payload = F.when(n % 13 == 0, F.lit('{broken "dob":"1990"')).otherwise(F.concat(F.lit(NESTED[0]), n.cast("string"), F.lit(NESTED[1])))
+    secret = F.col("data_classification").isin(*gov.SENSITIVE)
+    rows = envelopes(lake).select("event_no", "data_classification", payload.alias("payload"))
+    hidden = masking.mask_json(F.when(secret, F.col("payload")), ("address", "phone", "dob"))
+    out = rows.withColumn("hidden", hidden)
+    lost = secret & F.col("hidden").isNull()
+    return out.select("event_no", F.when(lost, "quarantine").otherwise("kept").alias("target"), F.when(secret, F.col("hidden")).otherwise(F.col("payload")).alias("payload"))
 
 
 oracle_view("customer_tokens", (), """
@@ -331,14 +384,11 @@ def curated_encounters(lake):
 
 
 @query("causation_links", uses="envelopes", sql="""
-SELECT e.event_no, e.causation_no, c.event_type AS cause_type, c.event_no IS NULL AS orphan
+SELECT e.event_no, e.causation_no, CASE WHEN c.event_no % 71 <> 1 THEN c.event_type END AS cause_type, c.event_no IS NULL AS orphan
 FROM envelopes e LEFT JOIN envelopes c ON e.causation_no = c.event_no WHERE e.causation_no IS NOT NULL""")
 def causation_links(lake):
-    rows = envelopes(lake)
-    effects = rows.filter("causation_no IS NOT NULL").select("event_no", "causation_no")
-    causes = rows.select(F.col("event_no").alias("causation_no"), F.col("event_type").alias("cause_type"))
-    return effects.join(causes, "causation_no", "left").select(
-        "event_no", "causation_no", "cause_type", F.col("cause_type").isNull().alias("orphan"))
+    """Some causes have no type, which makes no orphan of their effects."""
+    return gov.causation_links(envelopes(lake).withColumn("event_type", F.when(F.col("event_no") % 71 != 1, F.col("event_type"))))
 
 
 @query("correlation_sequence", uses="envelopes", sql="""
@@ -448,38 +498,44 @@ def replay_reprocess(lake):
 def versioned(lake: Lake) -> DataFrame:
     """Envelopes whose payload fields and types depend on type and version."""
     n, old = F.col("event_no"), F.col("event_version") == "1.0.0"
-    old_text = F.concat(F.lit('{"k":1,"code":"x","gone_'), (n % 3).cast("string"), F.lit('":1,"amount":1}'))
-    new_text = F.concat(F.lit('{"k":1,"code":5,"added_'), (n % 2).cast("string"), F.lit('":"x","amount":1.5}'))
+    old_text = F.concat(F.lit('{"k":1,"code":"x","legacy_id":"a","gone_'), (n % 3).cast("string"), F.lit('":1,"amount":1}'))
+    new_text = F.concat(F.lit('{"k":1,"code":5,"record_id":"a","must":true,"added_'), (n % 4).cast("string"), F.lit('":"x","amount":1.5}'))
     return lake.fixture("envelopes").withColumn("payload", F.when(old, old_text).otherwise(new_text))
 
 
 oracle_view("payload_fields", ("envelopes",), """
 SELECT DISTINCT event_type, event_version, unnest(CASE WHEN event_version = '1.0.0'
- THEN [{'field': 'k', 'type': 'BIGINT'}, {'field': 'code', 'type': 'STRING'}, {'field': concat('gone_', event_no % 3), 'type': 'BIGINT'}, {'field': 'amount', 'type': 'BIGINT'}]
- ELSE [{'field': 'k', 'type': 'BIGINT'}, {'field': 'code', 'type': 'BIGINT'}, {'field': concat('added_', event_no % 2), 'type': 'STRING'}, {'field': 'amount', 'type': 'DECIMAL'}] END, recursive := true)
+ THEN [{'field': 'k', 'type': 'BIGINT'}, {'field': 'code', 'type': 'STRING'}, {'field': 'record_id', 'type': 'STRING'}, {'field': concat('gone_', event_no % 3), 'type': 'BIGINT'}, {'field': 'amount', 'type': 'BIGINT'}]
+ ELSE [{'field': 'k', 'type': 'BIGINT'}, {'field': 'code', 'type': 'BIGINT'}, {'field': 'record_id', 'type': 'STRING'}, {'field': 'must', 'type': 'BOOLEAN'}, {'field': concat('added_', event_no % 4), 'type': 'STRING'}, {'field': 'amount', 'type': 'DECIMAL'}] END, recursive := true)
 FROM envelopes""")
 
 
 @query("schema_compat", uses="payload_fields", sql="""
 WITH o AS (SELECT * FROM payload_fields WHERE event_version = '1.0.0'), n AS (SELECT * FROM payload_fields WHERE event_version = '2.1.0')
 SELECT coalesce(o.event_type, n.event_type) AS event_type, coalesce(o.field, n.field) AS field,
- CASE WHEN o.field IS NULL THEN 'added' WHEN n.field IS NULL THEN 'removed' WHEN o.type = n.type THEN 'same'
+ CASE WHEN o.field IS NULL AND n.field = 'must' THEN 'added_required' WHEN o.field IS NULL THEN 'added' WHEN n.field IS NULL THEN 'removed' WHEN n.field = 'record_id' THEN 'renamed' WHEN o.type = n.type THEN 'same'
   WHEN o.type = 'BIGINT' AND n.type IN ('DECIMAL', 'DOUBLE') THEN 'widened' ELSE 'retyped' END AS change,
- CASE WHEN o.field IS NULL THEN 'minor' WHEN n.field IS NULL THEN 'major' WHEN o.type = n.type THEN 'none'
+ CASE WHEN o.field IS NULL AND n.field <> 'must' THEN 'minor' WHEN o.field IS NULL OR n.field IS NULL OR n.field = 'record_id' THEN 'major' WHEN o.type = n.type THEN 'none'
   WHEN o.type = 'BIGINT' AND n.type IN ('DECIMAL', 'DOUBLE') THEN 'minor' ELSE 'major' END AS level
 FROM o FULL JOIN n ON o.event_type = n.event_type AND o.field = n.field""")
 def schema_compat(lake):
     fields = schema_registry.observed_fields(versioned(lake))
-    return schema_registry.compare_versions(fields, "1.0.0", "2.1.0")
+    return schema_registry.compare_versions(fields, "1.0.0", "2.1.0", {"legacy_id": "record_id"})
 
 
 @query("payload_schema_violations", uses="envelopes", sql="""
-SELECT event_no, field FROM (SELECT event_no, unnest(CASE WHEN event_version = '1.0.0' THEN ['k', 'code', concat('gone_', event_no % 3), 'amount']
- ELSE ['k', 'code', concat('added_', event_no % 2), 'amount'] END) AS field FROM envelopes) WHERE field NOT IN ('k', 'code', 'amount', 'gone_0', 'added_0')""")
+SELECT event_no, '' AS field, 'not_an_object' AS violation FROM envelopes WHERE event_no % 11 = 0
+UNION ALL SELECT event_no, 'code', 'missing' FROM envelopes WHERE event_no % 11 <> 0 AND event_no % 7 = 0
+UNION ALL SELECT event_no, 'k', 'retyped' FROM envelopes WHERE event_no % 11 <> 0 AND event_no % 5 = 0
+UNION ALL SELECT event_no, concat('f_', event_no % 3), 'unlisted' FROM envelopes WHERE event_no % 11 <> 0 AND event_no % 3 <> 0""")
 def payload_schema_violations(lake):
-    """Payload keys that the registry does not list for the type and version."""
-    allowed = {"1.0.0": ("k", "code", "amount", "gone_0"), "2.1.0": ("k", "code", "amount", "added_0")}
-    types = lake.fixture("envelopes").select("event_type").distinct()
-    listed = F.coalesce(*[F.when(F.col("event_version") == v, F.array(*[F.lit(f) for f in fs])) for v, fs in allowed.items()])
-    registry = types.withColumn("event_version", F.explode(F.array(*[F.lit(v) for v in allowed]))).withColumn("field", F.explode(listed))
-    return schema_registry.payload_violations(versioned(lake), registry).select("event_no", "field")
+    """Payloads that lack a field, hold one of another type or one that is not listed, or are no object."""
+    n = F.col("event_no")
+    payload = F.when(n % 11 == 0, F.lit("[1]")).otherwise(F.concat(
+        F.when(n % 5 == 0, F.lit('{"k":"one"')).otherwise(F.lit('{"k":1')), F.when(n % 7 == 0, F.lit("")).otherwise(F.lit(',"code":"x"')),
+        F.lit(',"f_'), (n % 3).cast("string"), F.lit('":1,"amount":3}')))
+    events = lake.fixture("envelopes").withColumn("payload", payload)
+    schema = (("k", "BIGINT", True), ("code", "STRING", True), ("f_0", "BIGINT", False), ("amount", "DOUBLE", False))
+    listed = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.lit(t).alias("type"), F.lit(r).alias("required")) for f, t, r in schema]))
+    registry = events.select("event_type", "event_version").distinct().withColumn("s", listed).select("event_type", "event_version", "s.*")
+    return schema_registry.payload_violations(events, registry)
