@@ -248,7 +248,7 @@ def _union(sources: Sequence[Points], metrics: Sequence[str]) -> DataFrame | Non
 
 
 def alarm_state(sources: Sequence[Points], rules: Sequence[AlarmRule] = ALARM_RULES) -> DataFrame:
-    """State of every alarm per period that has data.
+    """State of every alarm per period that has data; where too little is the alarm, also per period without any.
 
     All sums and counts come from one aggregate over the finest period, partially
     aggregated before its shuffle; each of its rows then counts towards one window
@@ -257,12 +257,14 @@ def alarm_state(sources: Sequence[Points], rules: Sequence[AlarmRule] = ALARM_RU
     periods = sorted({r.period for r in rules})
     base = _union(sources, sorted({r.metric for r in rules if r.statistic in ("sum", "avg")})).groupBy(
         "metric", window_start("at", BASE_PERIOD).alias("_base")).agg(F.sum("value").alias("sum"), F.count("*").alias("n"))
+    for metric, period in sorted({(r.metric, r.period) for r in rules if r.comparison == "<"}):
+        base = base.unionByName(_empty_periods(base, metric, period))
     for i, period in enumerate(periods):
         base = base.withColumn(f"_w{i}", window_start("_base", period))
     windows = F.array(*[
         F.struct(F.lit(period).alias("period"), F.col(f"_w{i}").alias("window_start")) for i, period in enumerate(periods)])
     totals = base.select("metric", "sum", "n", F.inline(windows)).groupBy("metric", "period", "window_start").agg(
-        F.sum("sum").alias("sum"), (F.sum("sum") / F.sum("n")).alias("avg"))
+        F.sum("sum").alias("sum"), F.try_divide(F.sum("sum"), F.sum("n")).alias("avg"))
     values = [_tall(totals, ("sum", "avg"))]
     for period in periods:
         ranked = sorted({r.metric for r in rules if r.period == period and r.statistic in PERCENTILES})
@@ -278,6 +280,15 @@ def alarm_state(sources: Sequence[Points], rules: Sequence[AlarmRule] = ALARM_RU
     return joined.select("alarm", "window_start", "value", F.when(above, F.lit("ALARM")).otherwise(F.lit("OK")).alias("state"))
 
 
+def _empty_periods(base: DataFrame, metric: str, period: str) -> DataFrame:
+    """A zero for every period between the first and the last one of a metric, which adds nothing where there is data."""
+    start = window_start("_base", period)
+    span = base.filter(F.col("metric") == metric).agg(F.min(start).alias("a"), F.max(start).alias("b")).filter("a IS NOT NULL")
+    return span.select(
+        F.lit(metric).alias("metric"), F.explode(F.expr(f"sequence(a, b, interval {period})")).alias("_base"),
+        F.lit(0.0).alias("sum"), F.lit(0).cast("long").alias("n"))
+
+
 def _tall(df: DataFrame, statistics) -> DataFrame:
     """One row per statistic."""
     entries = F.array(*[F.struct(F.lit(s).alias("statistic"), F.col(s).alias("value")) for s in statistics])

@@ -105,6 +105,13 @@ def _alarm_sql() -> str:
                 f"SELECT '{r.alarm}' AS alarm, {bucket('at_ts', r.period)} AS window_start, round({value}, 4) AS value, "
                 f"CASE WHEN {value} {r.comparison} {r.threshold} THEN 'ALARM' ELSE 'OK' END AS state "
                 f"FROM points WHERE metric = '{r.metric}' GROUP BY 2")
+    hour = "time_bucket(INTERVAL 1 hour, eventtime)"
+    parts.append(
+        f"SELECT 'volume_low', h, 0.0, 'ALARM' FROM (SELECT unnest(generate_series(min({hour}), max({hour}), INTERVAL 1 HOUR)) AS h FROM object_writes) "
+        f"WHERE h NOT IN (SELECT {hour} FROM object_writes)")
+    parts.append(
+        f"SELECT 'volume_high', h, 0.0, 'OK' FROM (SELECT unnest(generate_series(min({hour}), max({hour}), INTERVAL 1 HOUR)) AS h FROM object_writes) "
+        f"WHERE h NOT IN (SELECT {hour} FROM object_writes)")
     return f"WITH points AS ({points}) " + " UNION ALL ".join(parts)
 
 
