@@ -6,23 +6,21 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from millrace.operators.joins import null_safe_join
+from millrace.operators.joins import fits, null_safe_join
 
 
 def exact_percentiles(df: DataFrame, group: Sequence[str], value: str, probabilities: dict[str, float],
                       bin_width: float) -> DataFrame:
     """One row per group with the percentiles and ``n``.
 
-    Values are first counted, then the counts are summed per bin; only the bins
-    that hold a wanted rank are looked at value by value. NULL values are skipped.
+    Rows are counted per bin, which partial aggregation cuts to a few rows per task before the first shuffle; only the
+    values in bins that hold a wanted rank are then counted one by one. NULL values are skipped.
     """
     group = list(group)
-    counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*group, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_c"))
-        .withColumn("_bin", F.floor(F.col("_v") / bin_width)))
+    rows = df.filter(F.col(value).isNotNull()).select(*group, F.col(value).cast("double").alias("_v")).withColumn(
+        "_bin", F.floor(F.col("_v") / bin_width))
     ordered_bins = Window.partitionBy(*group).orderBy("_bin")
-    bins = counts.groupBy(*group, "_bin").agg(F.sum("_c").alias("_c")).select(
+    bins = rows.groupBy(*group, "_bin").agg(F.count("*").alias("_c")).select(
         *group, "_bin",
         (F.sum("_c").over(ordered_bins) - F.col("_c")).alias("_start"),
         F.sum("_c").over(ordered_bins).alias("_end"),
@@ -35,6 +33,10 @@ def exact_percentiles(df: DataFrame, group: Sequence[str], value: str, probabili
     chosen = bins.withColumn("_wanted", F.filter(
         wanted, lambda w: (w["low"] < F.col("_end")) & (w["high"] >= F.col("_start")))
     ).filter(F.size("_wanted") > 0).drop("_end")
+    # A group has at most two chosen bins per percentile; where that is few rows in all, the others are dropped unshuffled.
+    few = fits(chosen)
+    inside = null_safe_join(rows, F.broadcast(chosen.select(*group, "_bin")) if few else chosen.select(*group, "_bin"), [*group, "_bin"])
+    counts = inside.groupBy(*group, "_bin", "_v").agg(F.count("*").alias("_c"))
     in_bin = Window.partitionBy(*group, "_bin").orderBy("_v")
     placed = (
         null_safe_join(counts, chosen, [*group, "_bin"])

@@ -45,7 +45,7 @@ def write_quarantine(df: DataFrame, path: str, mode: str = "append", error_date:
     """Append rejected rows as JSON by error_date. Any columns, but error_reason is needed."""
     _require(df, ["error_reason"])
     day = F.current_date() if error_date is None else error_date
-    df.withColumn("error_date", day).write.mode(mode).partitionBy("error_date").json(path)
+    df.withColumn("error_date", day).hint("rebalance", "error_date").write.mode(mode).partitionBy("error_date").json(path)
 
 
 def write_raw_zone(documents: DataFrame, path: str, newest: str = "transmission_timestamp") -> None:
@@ -56,7 +56,7 @@ def write_raw_zone(documents: DataFrame, path: str, newest: str = "transmission_
     """
     _require(documents, (*RAW_KEY, newest))
     last = first_delivery(documents, RAW_KEY, [F.col(newest).desc()])
-    last.write.mode("append").partitionBy("source_system", "event_type").json(path)
+    last.hint("rebalance", "source_system", "event_type").write.mode("append").partitionBy("source_system", "event_type").json(path)
 
 
 def read_raw_zone(spark: SparkSession, path: str, schema: str, newest: str = "transmission_timestamp") -> DataFrame:
@@ -64,6 +64,12 @@ def read_raw_zone(spark: SparkSession, path: str, schema: str, newest: str = "tr
     return first_delivery(spark.read.schema(schema).json(path), RAW_KEY, [F.col(newest).desc()])
 
 
+def compact_raw_zone(spark: SparkSession, source: str, target: str, schema: str, newest: str = "transmission_timestamp") -> None:
+    """The latest document per key of ``source`` to a new folder, from which reading goes on without the history."""
+    last = read_raw_zone(spark, source, schema, newest)
+    last.hint("rebalance", "source_system", "event_type").write.mode("overwrite").partitionBy("source_system", "event_type").json(target)
+
+
 def by_day(df: DataFrame, at: str, names: Sequence[str] = ("yyyy", "mm", "dd")) -> DataFrame:
     """Add year, month and day columns as zero-padded text."""
     formats = ("yyyy", "MM", "dd")
@@ -71,7 +77,7 @@ def by_day(df: DataFrame, at: str, names: Sequence[str] = ("yyyy", "mm", "dd"))
 
 
 def write_raw_by_day(documents: DataFrame, path: str, at: str = "produced_at") -> None:
-    by_day(documents, at).write.mode("append").partitionBy("yyyy", "mm", "dd").json(path)
+    by_day(documents, at).hint("rebalance", "yyyy", "mm", "dd").write.mode("append").partitionBy("yyyy", "mm", "dd").json(path)
 
 
 def write_canonical_layout(df: DataFrame, path: str, at: str = "produced_at") -> None:
