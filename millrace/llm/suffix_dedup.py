@@ -24,6 +24,8 @@ ignored; an empty table gives an empty one.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -173,12 +175,12 @@ def compared_runs(rows: DataFrame) -> DataFrame:
     return rows.repartition("h").sortWithinPartitions("h", "c", "doc", "start").mapInArrow(run, schema)
 
 
-PIECE = "k long, bytes binary, lead int, doc long, start long"
+PIECE = "k1 long, k2 long, before binary, after binary, doc long, start long"
 
 
 def run_pieces(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """PIECE: the runs in ``wanted`` (FOUND with a shape) cut by the place of their k-gram, under a key of k-gram, place
-    and the bytes that all windows of a whole piece share. ``lead`` is the k-gram's place in the piece."""
+    """PIECE: the runs in ``wanted`` (FOUND with a shape) cut by the place of their k-gram. The bytes that all windows of
+    a whole piece share are known by two hashes (with k-gram and place); only the bytes before and after are kept."""
     schema = StructType.fromDDL(PIECE)
     by_doc = wanted.groupBy("doc").agg(F.collect_list(F.struct("start", "h", "shape")).alias("runs"))      # bounded by the document
     texts = _only(docs, by_doc.select("doc")).join(by_doc.withColumnRenamed("doc", "doc_id"), "doc_id").select("doc_id", "text", "runs")
@@ -204,55 +206,82 @@ def run_pieces(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 last = gram[each] - np.maximum(offset[each] - n[each] + 1, step * STEP)
                 rolling = Rolling(p.data)
                 common = rolling.of(gram[each] - step * STEP, gram[each] - step * STEP - STEP + 1 + SPAN)
-                k = mix(common + h[each].view(np.uint64) * np.uint64(3) + step.astype(np.uint64))
+                k1 = mix(common + h[each].view(np.uint64) * np.uint64(3) + step.astype(np.uint64))
+                inner, outer = gram[each] - step * STEP, gram[each] - step * STEP - STEP + 1 + SPAN
+                k2 = Rolling(p.data, OTHER_VALUES).of(inner, outer)
                 raw = p.data.tobytes()
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(k.view(np.int64)), pa.array([raw[a:b] for a, b in zip(first.tolist(), (last + SPAN).tolist())], pa.binary()),
-                    pa.array((gram[each] - first).astype(np.int32)), pa.array(p.ids[owner[each]]), pa.array(first - p.offsets[owner[each]])], schema=arrow)
+                    pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)),
+                    pa.array([raw[a:b] for a, b in zip(first.tolist(), inner.tolist())], pa.binary()),
+                    pa.array([raw[a:b] for a, b in zip(outer.tolist(), (last + SPAN).tolist())], pa.binary()),
+                    pa.array(p.ids[owner[each]]), pa.array(first - p.offsets[owner[each]])], schema=arrow)
 
     return texts.mapInArrow(run, schema)
 
 
-def equal_windows(groups: list[list[bytes]]) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(group, piece, window, class) of windows that stand more than once among the pieces of a group; one class has equal
-    windows. The pieces of each group go through one suffix array."""
-    out = []
+def equal_windows(groups: list[list[tuple[bytes, bytes]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(group, piece, window, class) of windows that stand more than once among the pieces of a group, by class.
+
+    The pieces of a group, (bytes before, bytes after) what they share, go through one suffix array, in which one symbol
+    stands for the shared bytes. Equal windows are neighbours in it."""
+    lengths = np.array([sum(len(a) + len(b) + 2 for a, b in g) for g in groups], dtype=np.int64)
     by_width: dict[int, list[int]] = {}
-    lengths = [sum(map(len, g)) + len(g) for g in groups]
-    for i, n in enumerate(lengths):
-        by_width.setdefault(-(-n // 64) * 64 if n <= SHORT else 0, []).append(i)
+    for i, n in enumerate(lengths.tolist()):
+        by_width.setdefault(-(-n // 32) * 32 if n <= SHORT else -i - 1, []).append(i)
+    found = [(np.zeros(0, np.int64),) * 4]
     for width, members in by_width.items():
-        step = max(1, (1 << 20) // width) if width else 1
+        step = max(1, (1 << 20) // width) if width > 0 else 1
         for at in range(0, len(members), step):
             part = members[at:at + step]
-            size = width or lengths[part[0]]
-            symbols = np.full((len(part), size), -1, dtype=np.int64)
-            starts = []
-            for row, i in enumerate(part):
-                joined = np.frombuffer(b"\0".join(groups[i]), np.uint8).astype(np.int64) + 2
-                symbols[row, :len(joined)] = joined
-                ends = np.cumsum([len(x) + 1 for x in groups[i]])
-                symbols[row, ends[:-1] - 1] = 1               # between pieces
-                symbols[row, lengths[i] - 1] = 0
-                starts.append((ends, np.array([len(x) for x in groups[i]])))
-            n = np.array([lengths[i] for i in part])
-            order = suffix_arrays(symbols, n) if width else np.array([suffix_array(symbols[0].tolist())])
-            for row, i in enumerate(part):
-                ends, size_of = starts[row]
-                own = order[row, :n[row]]
-                piece = np.searchsorted(ends, own, "right")
-                place = own - (ends - size_of - 1)[np.minimum(piece, len(ends) - 1)]
-                ok = (piece < len(ends)) & (place + SPAN <= size_of[np.minimum(piece, len(ends) - 1)])
-                own, piece, place = own[ok], piece[ok], place[ok]
-                if len(own) < 2:
-                    continue
-                windows = symbols[row][own[:, None] + np.arange(SPAN)]
-                same = (windows[1:] == windows[:-1]).all(axis=1)      # neighbours in the order share their first SPAN bytes
-                if same.any():
-                    klass = np.cumsum(np.concatenate([[False], ~same]))
-                    many = np.bincount(klass)[klass] > 1
-                    out.append((i, piece[many], place[many], klass[many]))
-    return out
+            found.append(_equal_in_step(groups, np.array(part), lengths[part], width))
+    columns = [np.concatenate(c) for c in zip(*found)]
+    # Classes are numbered per call; with the group they are unique.
+    return tuple(columns)
+
+
+SHARED, BETWEEN, LAST = 258, 1, 0            # symbols besides bytes, which are counted from 2
+
+
+def _equal_in_step(groups, part: np.ndarray, n: np.ndarray, width: int):
+    rows = np.full((len(part), width if width > 0 else int(n[0])), -1, dtype=np.int64)
+    pieces = [x for i in part for x in groups[i]]
+    befores, afters = np.array([len(a) for a, _ in pieces]), np.array([len(b) for _, b in pieces])
+    size = befores + afters + 2
+    row = np.repeat(np.arange(len(part)), [len(groups[i]) for i in part])
+    own_piece = np.concatenate([np.arange(len(groups[i])) for i in part])
+    head = np.cumsum(size) - size
+    head -= head[np.searchsorted(row, row)]                   # the piece's place in its row
+    joined = np.frombuffer(b"".join(a + b"\0" + b + b"\0" for a, b in pieces), np.uint8).astype(np.int64) + 2
+    flat = rows.ravel()
+    place = np.repeat(row * rows.shape[1] + head - (np.cumsum(size) - size), size) + np.arange(len(joined))
+    flat[place] = joined
+    base = row * rows.shape[1] + head
+    flat[base + befores] = SHARED
+    flat[base + size - 1] = BETWEEN
+    flat[np.arange(len(part)) * rows.shape[1] + n - 1] = LAST
+    order = suffix_arrays(rows, n) if width > 0 else np.array([suffix_array(flat.tolist())])
+    # Which piece each place belongs to, and how many of the bytes after the shared ones its window takes.
+    piece_at = np.full(len(flat), -1, dtype=np.int64)
+    piece_at[place] = np.repeat(np.arange(len(pieces)), size)
+    spot = (order + np.arange(len(part))[:, None] * rows.shape[1])[order >= 0]
+    piece = piece_at[spot]
+    window = spot - base[piece]
+    tail = window + STEP - 1 - befores[piece]                 # SPAN less the bytes before and the shared ones
+    ok = (window <= befores[piece]) & (tail <= afters[piece])
+    spot, piece, window, tail = spot[ok], piece[ok], window[ok], tail[ok]
+    if len(spot) < 2:
+        return (np.zeros(0, np.int64),) * 4
+    length = befores[piece] - window + 1 + tail               # symbols of the window
+    same = (row[piece][1:] == row[piece][:-1]) & (length[1:] == length[:-1]) & (tail[1:] == tail[:-1])
+    pair = np.flatnonzero(same)
+    longest = 2 * STEP
+    index = np.arange(longest)
+    first = np.minimum(spot[pair, None] + index, len(flat) - 1)
+    second = np.minimum(spot[pair + 1, None] + index, len(flat) - 1)
+    same[pair] = ((flat[first] == flat[second]) | (index >= length[pair, None])).all(axis=1)
+    klass = np.cumsum(np.concatenate([[False], ~same]))
+    many = np.bincount(klass)[klass] > 1
+    return part[row[piece[many]]], own_piece[piece[many]], window[many], klass[many]
 
 
 REPEAT = "doc long, start long, stop long, w1 long, w2 long"
@@ -266,49 +295,54 @@ def piece_repeats(rows: DataFrame, limit: int = PIECES) -> DataFrame:
     def run(batches):
         arrow = to_arrow_schema(schema)
         for spans, loose, groups in _gathered(batches, limit):
-            for i, piece, window, klass in equal_windows([[r[0] for r in g] for g in groups]):
-                doc = np.array([r[2] for r in groups[i]])[piece]
-                start = np.array([r[3] for r in groups[i]])[piece] + window
-                order = np.lexsort((start, doc, klass))
-                later = order[np.concatenate([[False], klass[order][1:] == klass[order][:-1]])]
-                spans += [(int(d), int(s), int(s) + SPAN) for d, s in zip(doc[later], start[later])]
+            if groups:
+                group, piece, window, klass = equal_windows([[r[:2] for r in g] for g in groups])
+                first = np.cumsum([0] + [len(g) for g in groups])[group] + piece
+                docs, starts = (np.array([r[k] for g in groups for r in g], dtype=np.int64) for k in (2, 3))
+                doc, start = docs[first], starts[first] + window
+                order = np.lexsort((start, doc, klass, group))
+                later = order[1:][(klass[order][1:] == klass[order][:-1]) & (group[order][1:] == group[order][:-1])]
+                spans += zip(doc[later].tolist(), start[later].tolist(), (start[later] + SPAN).tolist())
             merged = united(spans)
             columns = [[r[i] for r in merged] + [r[i] for r in loose] for i in range(3)] + [[None] * len(merged) + [r[i] for r in loose] for i in (3, 4)]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=arrow)
 
-    return rows.repartition("k").sortWithinPartitions("k", "bytes", "lead", "doc", "start").mapInArrow(run, schema)
+    return rows.repartition("k1").sortWithinPartitions("k1", "k2", "before", "after", "doc", "start").mapInArrow(run, schema)
 
 
-def _windows(piece: tuple) -> list[tuple]:
-    """Each window of a piece with two independent hashes."""
-    raw, _, doc, start = piece
-    data = np.frombuffer(raw, np.uint8)
-    at = np.arange(len(data) - SPAN + 1)
-    w1, w2 = (Rolling(data, v).of(at, at + SPAN).view(np.int64).tolist() for v in (np.arange(1, 257, dtype=np.uint64), OTHER_VALUES))
-    return [(doc, start + i, start + i + SPAN, x, y) for i, x, y in zip(at.tolist(), w1, w2)]
+def _windows(key: tuple, piece: tuple) -> list[tuple]:
+    """Each window of a piece: its place and two hashes, of the shared bytes' hashes and of its own other bytes."""
+    before, after, doc, start = piece
+    out = []
+    for i in range(len(before) + 1):
+        tail = i + STEP - 1 - len(before)
+        if 0 <= tail <= len(after):
+            own = hashlib.blake2b(repr((key, before[i:], after[:tail])).encode(), digest_size=16).digest()
+            out.append((doc, start + i, start + i + SPAN, *np.frombuffer(own, "<i8").tolist()))
+    return out
 
 
 def _gathered(batches, limit: int):
-    """From pieces sorted by key, bytes and place: spans of pieces equal to the one before, windows of groups with more
+    """From pieces sorted by keys, bytes and place: spans of pieces equal to the one before, windows of groups with more
     than ``limit`` different pieces, and the different pieces of each other group. No more than those are held of a group."""
     key, group, many = None, [], False
     for batch in batches:
         spans, loose, ready = [], [], []
-        for k, *row in zip(*(c.to_pylist() for c in batch.columns)):
-            if k != key:
+        for k1, k2, *row in zip(*(c.to_pylist() for c in batch.columns)):
+            if key != (k1, k2):
                 if len(group) > 1 and not many:
                     ready.append(group)
-                key, group, many = k, [], False
+                key, group, many = (k1, k2), [], False
             if group and group[-1][0] == row[0] and group[-1][1] == row[1]:
-                spans.append((row[2], row[3], row[3] + len(row[0])))
+                spans.append((row[2], row[3], row[3] + len(row[0]) + len(row[1]) + SPAN - STEP + 1))
                 continue
             if many:
-                loose += _windows(tuple(row))
+                loose += _windows(key, tuple(row))
                 group = [tuple(row)]                          # only to know equal ones
                 continue
             group.append(tuple(row))
             if len(group) > limit:
-                loose += [w for piece in group for w in _windows(piece)]
+                loose += [w for piece in group for w in _windows(key, piece)]
                 many, group = True, group[-1:]
         yield spans, loose, ready
     yield [], [], [group] if len(group) > 1 and not many else []
