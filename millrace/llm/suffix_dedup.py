@@ -89,7 +89,8 @@ RUN = "h long, c long, doc long, start long, shape int"
 
 def window_runs(docs: DataFrame, section: int = SECTION) -> DataFrame:
     """One row per run of windows: its k-gram's hash, a hash of its bytes and shape, document, first byte, and shape
-    (offset of the k-gram from the first window * 128 + number of windows)."""
+    (offset of the k-gram from the first window * 128 + number of windows). A run known to be a repeat has its shape
+    negated and a hash of its place for the k-gram's, so that it is dealt out evenly."""
     schema = StructType.fromDDL(RUN)
 
     def run(batches):
@@ -113,9 +114,14 @@ def window_runs(docs: DataFrame, section: int = SECTION) -> DataFrame:
                 first, n, offset = s[a], b - a + 1, place[a] - s[a]
                 shape = offset * 128 + n
                 c = mix(rolling.of(first, s[b] + SPAN) + shape.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+                h, own, at = grams[place[a]], ids[doc[a]], base[doc[a]] + first - offsets[doc[a]]
+                # Repeats within this batch are known here; only the first of equal runs is shuffled by its k-gram.
+                order = np.lexsort((c, h) if (own[1:] >= own[:-1]).all() else (at, own, c, h))
+                again = order[1:][(h[order][1:] == h[order][:-1]) & (c[order][1:] == c[order][:-1])]
+                shape[again] *= -1
+                h[again] = mix(own[again].astype(np.uint64) + at[again].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(grams[place[a]].view(np.int64)), pa.array(c.view(np.int64)), pa.array(ids[doc[a]]),
-                    pa.array(base[doc[a]] + first - offsets[doc[a]]), pa.array(shape.astype(np.int32))], schema=arrow)
+                    pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), pa.array(own), pa.array(at), pa.array(shape.astype(np.int32))], schema=arrow)
 
     return docs.mapInArrow(run, schema)
 
@@ -134,7 +140,7 @@ def compared_runs(rows: DataFrame) -> DataFrame:
         waiting = None                                    # the first run of a k-gram, as long as it is the only one
 
         def give(t, keep, repeat):
-            n = (t["shape"] & 127) + SPAN - 1
+            n = (np.abs(t["shape"]) & 127) + SPAN - 1
             return pa.RecordBatch.from_arrays([
                 pa.array(t["doc"][keep]), pa.array(t["start"][keep]), pa.array((t["start"] + n)[keep]), pa.array(t["h"][keep]),
                 pa.array(t["shape"][keep], mask=repeat[keep])], schema=arrow)
@@ -148,7 +154,8 @@ def compared_runs(rows: DataFrame) -> DataFrame:
             new_c[1:] = new_h[1:] | (t["c"][1:] != t["c"][:-1])
             if held is not None and held[0] == t["h"][0]:
                 new_h[0], new_c[0] = False, held[1] != t["c"][0]
-            repeat = ~new_c
+            repeat = ~new_c | (t["shape"] < 0)
+            new_c = ~repeat
             group = np.cumsum(new_h)                      # 0: goes on from the batch before
             kinds = np.bincount(group, weights=new_c, minlength=group[-1] + 1)
             several = kinds > 1
