@@ -11,13 +11,15 @@ from millrace.operators.joins import lookup_join
 def encounters(canonical: DataFrame, salt: str) -> DataFrame:
     """Encounters of messages with what FHIR resources know of the same person.
 
-    Resources are aggregated per person first, so both joins meet unique keys.
+    Resources are aggregated per person first, so both joins meet unique keys. A visit belongs to the patient that its
+    ``subject`` (Patient/id) names.
     Patient ids leave only as salted hashes.
     """
     fhir = canonical.filter(F.col("format") == "fhir")
     patients = fhir.filter("patient IS NOT NULL").groupBy(F.col("patient.id").alias("entity_id")).agg(
         F.count("*").alias("patient_records"))
-    visits = fhir.filter("encounter IS NOT NULL").groupBy(F.col("encounter.id").alias("entity_id")).agg(
+    person = F.when(F.col("subject").startswith("Patient/"), F.substring_index("subject", "/", -1))
+    visits = fhir.filter(F.col("encounter").isNotNull() & person.isNotNull()).groupBy(person.alias("entity_id")).agg(
         F.count("*").alias("ambulatory_visits"))
     people = patients.join(visits, "entity_id", "full")
     rows = canonical.filter(F.col("format").isin("hl7", "x12") & (F.col("entity_type") == "patient")).select(

@@ -34,6 +34,7 @@ def parse(m: base.Message) -> Column:
         F.when(kind == "Observation", json_string(doc, "$.code.coding[0].code")).alias("code"),
         F.when((kind == "Observation") & value.isNotNull(), as_text(value)).alias("value"),
         F.when(kind == "Encounter", json_string(doc, "$.class.code")).alias("class_code"),
+        F.when(kind == "Encounter", json_string(doc, "$.subject.reference")).alias("subject"),
         F.when(profile.isNotNull(), as_text(profile)).alias("profile"))
 
 
@@ -48,7 +49,7 @@ def fields(m: base.Message) -> Column:
 
 
 def metadata(m: base.Message, event_id: Column, source_system: Column) -> Column:
-    return base.sparse_map({"meta.profile": m.parsed["profile"]})
+    return base.sparse_map({"meta.profile": m.parsed["profile"], "subject.reference": m.parsed["subject"]})
 
 
 def transform_error(f: Column) -> Column:

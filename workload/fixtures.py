@@ -29,8 +29,9 @@ SELECT o_orderkey AS msg_id,
   WHEN 1 THEN
    concat('ISA*00*          *00*          *ZZ*S*ZZ*R*260101*1200*^*00501*', CAST(o_orderkey AS STRING), '*0*T*:~', chr(13), 'GS*HC*S*R*20260101*1200*1*X*005010X222A1~ST*837*0001~',
      CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE concat('NM1*IL*1*', c_mktsegment, '*', c_name, '****MI*', CAST(o_custkey AS STRING), '~') END,
+     CASE WHEN o_orderkey % 4 = 1 THEN concat('NM1*85*2*CLINIC*****XX*', CASE WHEN o_orderkey % 16 = 1 THEN '12345' ELSE '1234567893' END, '~') ELSE '' END,
      'CLM*ENC', CAST(o_orderkey AS STRING), '*', CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS STRING), '***11:B:1~DTP*472*D8*', replace(CAST(CAST(o_orderdate AS DATE) AS STRING), '-', ''), '~')
-  WHEN 2 THEN concat('{"resourceType":"', CASE o_orderkey % 8 WHEN 0 THEN 'Patient' WHEN 2 THEN 'Encounter' WHEN 4 THEN 'Observation' ELSE 'Claim' END, '","id":"', CAST(o_custkey AS STRING), '","class":{"code":"AMB"},"code":{"coding":[{"code":"', o_orderpriority, '"}]},"valueQuantity":{"value":', CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS STRING), '},"meta":{"profile":["p1"]}}')
+  WHEN 2 THEN concat('{"resourceType":"', CASE o_orderkey % 8 WHEN 0 THEN 'Patient' WHEN 2 THEN 'Encounter' WHEN 4 THEN 'Observation' ELSE 'Claim' END, '","id":"', CAST(o_custkey AS STRING), '"', CASE WHEN o_orderkey % 8 = 2 THEN concat(',"subject":{"reference":"', CASE WHEN o_orderkey % 7 = 0 THEN 'Group/' ELSE 'Patient/' END, CAST(o_custkey + CASE WHEN o_orderkey % 5 = 0 THEN 1000000 ELSE 0 END AS STRING), '"},"status":"', CASE WHEN o_orderkey % 3 = 0 THEN 'unheard' ELSE 'finished' END, '"') ELSE '' END, ',"class":{"code":"AMB"},"code":{"coding":[{"code":"', o_orderpriority, '"}]},"valueQuantity":{"value":', CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS STRING), '},"meta":{"profile":["p1"]}}')
   WHEN 3 THEN concat('{"encounter_id":"', CAST(o_orderkey AS STRING), '","member_id":"M', CAST(o_custkey AS STRING), '"}')
   WHEN 4 THEN concat('{"wrap":{"items":[{"resourceType":"Patient","id":"', CAST(o_custkey AS STRING), '"}]}}')
   ELSE concat('{bad json ', CAST(o_orderkey AS STRING)) END AS payload

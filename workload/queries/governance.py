@@ -29,7 +29,8 @@ def stored_canonical(lake: Lake) -> DataFrame:
     """Accepted canonical events as a table, for plans that read them more than once."""
     path = work_dir(lake.spark, "canonical-events")
     canonical(lake).filter("error_reason IS NULL").select(
-        "msg_id", "event_id", "format", "entity_type", "entity_id", "patient", "encounter", "observation").write.parquet(path)
+        "msg_id", "event_id", "format", "entity_type", "entity_id", "patient", "encounter", "observation",
+        F.col("metadata")["subject.reference"].alias("subject")).write.parquet(path)
     return lake.spark.read.parquet(path)
 
 
@@ -342,12 +343,12 @@ def mask_functions(lake):
 
 STRUCT_SQL = {
     "x12_837_required_segments_present": "SELECT msg_id, '{}' AS rule, nm1 IS NOT NULL AND clm IS NOT NULL AS passed FROM x12_parts",
-    "billing_provider_npi_valid": "SELECT msg_id, '{}' AS rule, false AS passed FROM x12_parts",
+    "billing_provider_npi_valid": "SELECT msg_id, '{}' AS rule, coalesce(regexp_matches(provider[10], '^[0-9]{{10}}$'), false) AS passed FROM x12_parts",
     "x12_encounter_requires_clm": "SELECT msg_id, '{}' AS rule, clm IS NOT NULL AND coalesce(clm[2], '') <> '' AS passed FROM x12_parts",
     "hl7_pid_required": "SELECT msg_id, '{}' AS rule, pid IS NOT NULL AS passed FROM hl7_parts",
     "hl7_patient_id_valid": "SELECT msg_id, '{}' AS rule, coalesce(regexp_matches(string_split(pid[4], '^')[1], '^[A-Za-z0-9]+$'), false) AS passed FROM hl7_parts",
-    "fhir_encounter_status_required": "SELECT msg_id, '{}' AS rule, false AS passed FROM fhir_out WHERE kind = 'Encounter'",
-    "fhir_patient_reference_valid": "SELECT msg_id, '{}' AS rule, false AS passed FROM fhir_out WHERE kind = 'Encounter'",
+    "fhir_encounter_status_required": "SELECT msg_id, '{}' AS rule, coalesce(status = 'finished', false) AS passed FROM fhir_out WHERE kind = 'Encounter'",
+    "fhir_patient_reference_valid": "SELECT msg_id, '{}' AS rule, coalesce(starts_with(subject, 'Patient/'), false) AS passed FROM fhir_out WHERE kind = 'Encounter'",
     "generic_encounter_id_required": "SELECT msg_id, '{}' AS rule, coalesce((j ->> '$.encounter_id') <> '', false) AS passed FROM detected WHERE format = 'generic'",
     "generic_member_id_valid": "SELECT msg_id, '{}' AS rule, coalesce(regexp_matches(j ->> '$.member_id', '^[A-Za-z0-9]+$'), false) AS passed FROM detected WHERE format = 'generic'",
 }
@@ -360,18 +361,19 @@ def structural_rules(lake):
 
 
 @query("patient_reference_valid", uses="fhir_out", sql="""
-SELECT msg_id, concat('Patient/', id) AS reference, id IN (SELECT id FROM fhir_out WHERE kind = 'Patient') AS resolved FROM fhir_out WHERE kind = 'Encounter'""")
+SELECT msg_id, subject AS reference, coalesce(subject IN (SELECT concat('Patient/', id) FROM fhir_out WHERE kind = 'Patient'), false) AS resolved FROM fhir_out WHERE kind = 'Encounter'""")
 def patient_reference_valid(lake):
     rows = stored_canonical(lake).filter("format = 'fhir'")
     known = rows.filter("patient IS NOT NULL").select(F.col("patient.id").alias("patient_id"))
     visits = rows.filter("encounter IS NOT NULL").select(
-        "msg_id", "event_id", F.concat(F.lit("Patient/"), F.col("encounter.id")).alias("reference"))
+        "msg_id", "event_id", F.col("subject").alias("reference"))
     return structure.resolve_patients(visits, known).select("msg_id", "reference", "resolved")
 
 
-@query("curated_encounters", uses="canon", sql=f"""
+@query("curated_encounters", uses=("canon", "fhir_out"), sql=f"""
 WITH p AS (SELECT patient_id AS person, count(*) AS patient_records FROM canon WHERE format = 'fhir' AND error_reason IS NULL AND patient_id IS NOT NULL GROUP BY 1),
- e AS (SELECT encounter_id AS person, count(*) AS ambulatory_visits FROM canon WHERE format = 'fhir' AND error_reason IS NULL AND encounter_id IS NOT NULL GROUP BY 1)
+ e AS (SELECT substr(f.subject, 9) AS person, count(*) AS ambulatory_visits FROM canon c JOIN fhir_out f USING (msg_id)
+  WHERE c.format = 'fhir' AND c.error_reason IS NULL AND c.encounter_id IS NOT NULL AND starts_with(f.subject, 'Patient/') GROUP BY 1)
 SELECT msg_id, format, encounter_id, observation_code, sha256(concat('{SALT}', entity_id)) AS patient_key,
  coalesce(patient_records, 0) AS patient_records, coalesce(ambulatory_visits, 0) AS ambulatory_visits
 FROM canon LEFT JOIN p ON p.person = entity_id LEFT JOIN e ON e.person = entity_id

@@ -33,6 +33,7 @@ SELECT *, string_split(list_filter(lines, lambda x: starts_with(x, 'ISA*'))[-1],
  string_split(list_filter(lines, lambda x: starts_with(x, 'GS*'))[-1], '*') AS gs,
  string_split(list_filter(lines, lambda x: starts_with(x, 'ST*'))[-1], '*') AS st,
  string_split(list_filter(lines, lambda x: starts_with(x, 'NM1*IL*'))[-1], '*') AS nm1,
+ string_split(list_filter(lines, lambda x: starts_with(x, 'NM1*85*'))[-1], '*') AS provider,
  string_split(list_filter(lines, lambda x: starts_with(x, 'CLM*'))[-1], '*') AS clm,
  string_split(list_filter(lines, lambda x: starts_with(x, 'DTP*472*'))[-1], '*') AS dtp FROM x12_lines""")
 oracle_view("hl7_out", ("hl7_parts",), """
@@ -52,6 +53,7 @@ oracle_view("fhir_out", ("detected",), """
 SELECT msg_id, coalesce(j ->> '$.resourceType', '') AS kind, coalesce(j ->> '$.id', '') AS id,
  coalesce(j ->> '$.code.coding[0].code', '') AS code, CAST(j ->> '$.valueQuantity.value' AS DOUBLE) AS value_num,
  coalesce(j ->> '$.class.code', '') AS class_code, CAST(j -> '$.meta.profile' AS VARCHAR) AS profile,
+ j ->> '$.subject.reference' AS subject, j ->> '$.status' AS status,
  CASE WHEN coalesce(j ->> '$.resourceType', '') = '' THEN 'missing resourceType'
   WHEN (j ->> '$.resourceType') NOT IN ('Patient', 'Encounter', 'Observation') THEN concat('unsupported resourceType: ', j ->> '$.resourceType') END AS err
 FROM detected WHERE format = 'fhir'""")
