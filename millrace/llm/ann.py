@@ -21,7 +21,7 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -183,8 +183,6 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, share: float = SH
         return pa.table({"query_id": pa.array(out_query, pa.int64()), "vec_id": pa.array(out_vec, pa.int64()), "score": pa.array(out_score, pa.float64())})
 
     found = queries.groupBy("shard", "block").cogroup(candidates.groupBy("shard", "block")).applyInArrow(rerank, "query_id long, vec_id long, score double")
-    from pyspark.sql import Window
-
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

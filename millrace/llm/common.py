@@ -12,6 +12,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
+
+from millrace.session import work_dir
 
 # Rows per Arrow batch: documents can be long, so few of them travel at once.
 ARROW_ROWS = 512
@@ -35,18 +39,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Only the id and the text, under fixed names; a null text is an empty one. Other columns never reach Python."""
+    """Only the id and the text, under fixed names; a null text is an empty one. Other columns never reach Python.
+
+    Sets the session's rows per Arrow batch to ``ARROW_ROWS``, which bounds what a task holds of long texts."""
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
 def per_text(docs: DataFrame, fn: Callable[[str], tuple], schema: str) -> DataFrame:
     """One row per document: its id and what ``fn`` makes of the text. ``schema`` lists the fields after doc_id."""
-    from pyspark.sql.types import StructType
-
     fields = StructType.fromDDL(f"doc_id long, {schema}")
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     arrow = to_arrow_schema(fields)
 
     def run(batches):
@@ -150,8 +152,6 @@ def hash_bytes(data: bytes, kind: np.ndarray = NONBLANK) -> np.ndarray:
 
 def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """``df`` written as Parquet to the folder all executors share and read again: its lineage ends there."""
-    from millrace.session import work_dir
-
     spark = df.sparkSession
     path = work_dir(spark, label)
     df.write.option("compression", compression).parquet(path)
