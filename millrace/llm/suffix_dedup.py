@@ -301,7 +301,7 @@ def piece_repeats(rows: DataFrame, limit: int = PIECES) -> DataFrame:
 
     def run(batches):
         arrow = to_arrow_schema(schema)
-        for spans, loose, groups in _gathered(batches, limit):
+        for spans, loose, groups in _together(_gathered(batches, limit)):
             if groups:
                 group, piece, window, klass = equal_windows([[r[:2] for r in g] for g in groups])
                 first = np.cumsum([0] + [len(g) for g in groups])[group] + piece
@@ -317,6 +317,20 @@ def piece_repeats(rows: DataFrame, limit: int = PIECES) -> DataFrame:
     return rows.repartition("k1").sortWithinPartitions("k1", "k2", "before", "after", "doc", "start").mapInArrow(run, schema)
 
 
+def _together(parts, pieces_held: int = 20_000):
+    """Several of ``_gathered``'s results as one, so that many suffix arrays are built in step."""
+    spans, loose, groups, held = [], [], [], 0
+    for a, b, c in parts:
+        spans += a
+        loose += b
+        groups += c
+        held += sum(map(len, c)) + len(b) + len(a) // 4
+        if held >= pieces_held:
+            yield spans, loose, groups
+            spans, loose, groups, held = [], [], [], 0
+    yield spans, loose, groups
+
+
 def _windows(key: tuple, piece: tuple) -> list[tuple]:
     """Each window of a piece: its place and two hashes, of the shared bytes' hashes and of its own other bytes."""
     before, after, doc, start = piece
