@@ -6,7 +6,8 @@ P(grade > k) = sigmoid(w.x - t_k) with t_0 < t_1, and the expected severity is t
 Training rows are labelled documents: at most ``FIT_ROWS`` of them, those whose ids hash lowest, so the choice does not
 depend on order. The labels only tell toxic from not; a toxic row's grade is 2 if it holds more of the features that
 set toxic rows apart than the median toxic row, else 1. Only features that set grades apart are kept (``LEAST_ROWS``,
-``LEAST_LIFT``, ``LEAST_Z``, ``LEAST_SHARE``), so that a long text does not gather the noise of thousands of weights. Only ids of buckets reach the
+``LEAST_LIFT``, ``LEAST_Z``), so that a long text does not gather the noise of thousands of weights; the bounds are fixed, so that a
+rare kind of toxicity or a small language is not measured against the most frequent mark. Only ids of buckets reach the
 driver, and the fitted model is at most one weight per bucket.
 
 Defined results: a null or empty text has the severity of no features; labels that are null are left out; without both
@@ -32,7 +33,6 @@ FIT_ROWS = 20_000
 LEAST_ROWS = 5
 LEAST_LIFT = 8.0
 LEAST_Z = 6.0
-LEAST_SHARE = 0.25
 # Beginnings of words, in bytes, that are features besides whole words: inflected words share them.
 PREFIXES = (4, 5, 6)
 # A text is rejected from this expected severity on.
@@ -90,7 +90,7 @@ def fit_rows(rows: list[np.ndarray], toxic: np.ndarray, steps: int = 300, ridge:
     lift = ((in_toxic + 0.5) / (n_toxic + 1)) / ((in_other + 0.5) / (n - n_toxic + 1))
     expected = (in_toxic + in_other) * n_toxic / n
     z = (in_toxic - expected) / np.sqrt(np.maximum(expected, 1e-9))
-    marks = (in_toxic >= LEAST_ROWS) & (lift >= LEAST_LIFT) & (z >= max(LEAST_Z, LEAST_SHARE * z.max()))
+    marks = (in_toxic >= LEAST_ROWS) & (lift >= LEAST_LIFT) & (z >= LEAST_Z)
     # Features against toxicity would let clean words outweigh toxic ones in a long text; the intercept does their work.
     held = np.bincount(row, weights=marks[col], minlength=n)
     grade = toxic.astype(int) + (toxic & (held > np.median(held[toxic])))

@@ -62,6 +62,18 @@ def test_thresholds_are_ordered_and_probabilities_add_up():
     assert (up[:, 0] >= up[:, 1]).all() and ((up >= 0) & (up <= 1)).all()
 
 
+def test_marks_of_a_rare_kind_are_kept_beside_a_frequent_one():
+    rng = np.random.default_rng(1)
+    rows = [rng.integers(100, 5000, 20) for _ in range(4000)]
+    toxic = np.arange(4000) % 10 == 0
+    for k, i in enumerate(np.flatnonzero(toxic)):
+        rows[i] = np.append(rows[i], 2 if k % 50 == 0 else 1)            # 8 rows against 392
+    model = toxicity.fit_rows([np.unique(r) for r in rows], toxic)
+    assert model.weights[1] > 0 and model.weights[2] > 0
+    up = model.above(model.weights[[2]])
+    assert up.sum() >= toxicity.REJECT
+
+
 def test_toxicity_without_a_model_and_on_odd_rows(spark):
     docs = documents(spark, ODD)
     none = spark.createDataFrame([(1, 1, 0), (2, 1, 0)], "doc_id long, quality int, toxic int")
