@@ -147,6 +147,16 @@ def test_updates_lower_the_loss():
     assert loss() < 0.5 * before
 
 
+def test_buckets_grow_with_the_words_and_weights_have_them_all(spark):
+    none = np.zeros(lm.CLASSES, dtype=np.int64)
+    sizes = [lm.Facts(v, v, np.zeros(0, np.uint64), none, none).buckets for v in (0, 1000, 4_000_000, 240_000_000)]
+    assert sizes[0] >= 1 << 14 and sizes == sorted(sizes) and sizes[0] < sizes[2] < sizes[3]
+    blocks, facts = lm.counted(lm.stored(lm.pack(lm.keyed(documents(spark, languages(3, 60)), "doc_id", "text")), "lm-test"))
+    facts.v = 4_000_000
+    weights, _ = lm.train(blocks, facts)
+    assert weights.shape == (facts.buckets, lm.CLASSES) and np.flatnonzero(weights.any(axis=1)).max() > 1 << 14
+
+
 def test_language_model_on_odd_rows(spark):
     rows = lm.score(documents(spark, ODD)).collect()
     assert len(rows) == len(ODD) and all(r["score"] < 0 and r["n_tokens"] >= 1 for r in rows)
