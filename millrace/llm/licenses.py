@@ -11,6 +11,7 @@ ignored; an empty table gives an empty one.
 
 from __future__ import annotations
 
+from bisect import bisect
 from functools import lru_cache
 
 import ahocorasick
@@ -52,6 +53,27 @@ def parts(notice: str, k: int) -> list[tuple[int, str]]:
     return [(a, notice[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
+def apart(chars: str, pattern, windows: set[tuple[int, int]], least: int) -> list[tuple[int, int, int]]:
+    """Matches (start, end, errors) that don't overlap: each window's best, the better ones first, then what is left beside them."""
+    taken: list[tuple[int, int, int]] = []
+    while windows:
+        hits = []
+        for low, high in windows:
+            if m := pattern.search(chars, low, high):
+                hits.append((sum(m.fuzzy_counts), *m.span(), low, high))
+        windows = set()
+        for errors, s, e, low, high in sorted(hits):
+            at = bisect(taken, s, key=lambda t: t[0])
+            for t in (taken[at - 1:at] + taken[at:at + 1]):
+                if t[0] < e and s < t[1]:
+                    break
+            else:
+                t = (s, e, errors)
+                taken.insert(at, t)
+            windows |= {(a, b) for a, b in ((low, min(t[0], high)), (max(t[1], low), high)) if b - a >= least}
+    return taken
+
+
 class Scanner:
     def __init__(self, notices=NOTICES, phrases=PHRASES):
         self.phrases = [(f" {p} ".encode(), label, len(p.split())) for p, label in phrases]
@@ -77,27 +99,17 @@ class Scanner:
                 base.append((plain.count(b" ", 0, at), label))
                 at = plain.find(phrase, at + 1)
         chars = plain.decode("latin-1")                # one character per byte
-        near: dict[int, list[list[int]]] = {}
+        near: dict[int, set[tuple[int, int]]] = {}
         for end, (length, where) in self.seeds.iter(chars):
             for i, at in where:
                 _, size, k, _ = self.notices[i]
                 low = end + 1 - length - at - k - 1
-                spans = near.setdefault(i, [])
-                if spans and low <= spans[-1][1]:
-                    spans[-1][1] = max(spans[-1][1], low + size + 2 * k + 2)
-                    spans[-1][0] = min(spans[-1][0], low)
-                else:
-                    spans.append([low, low + size + 2 * k + 2])
+                near.setdefault(i, set()).add((max(low, 0), min(low + size + 2 * k + 2, len(chars))))
         found = []
-        for i, spans in near.items():
+        for i, windows in near.items():
             label, size, k, pattern = self.notices[i]
-            done = 0
-            for low, high in spans:
-                at = max(low, done, 0)
-                while m := pattern.search(chars, at, min(high, len(chars))):
-                    errors, (s, e) = sum(m.fuzzy_counts), m.span()
-                    found.append((label, chars.count(" ", 0, s) - 1, chars.count(" ", 0, e) - 1, errors, 1 - errors / size))
-                    at = done = max(e, s + 1)
+            for s, e, errors in apart(chars, pattern, windows, size - k):
+                found.append((label, chars.count(" ", 0, s) - 1, chars.count(" ", 0, e) - 1, errors, 1 - errors / size))
         return len(words), sorted(base), sorted(found, key=lambda x: x[1:3] + x[:1])
 
 

@@ -161,6 +161,13 @@ def test_seeds_lose_no_fuzzy_match():
             assert label in {f[0] for f in scanner.scan(text)[2]}
 
 
+@pytest.mark.parametrize("text, spans", [
+    ("x apache licence apache license y", [("apache", 1, 2, 1), ("apache", 3, 4, 0)]),
+    ("apache licence " * 3 + "apache license " + "apache licence " * 2, [("apache", 2 * i, 2 * i + 1, int(i != 3)) for i in range(6)])])
+def test_edited_notices_beside_an_exact_one_are_found(text, spans):
+    assert [f[:4] for f in licenses.Scanner().scan(text)[2]] == spans
+
+
 def test_license_report_on_odd_rows(spark):
     rows = {r["doc_id"]: r for r in licenses.report(documents(spark, [*ODD, "The MIT License and general public licence"])).collect()}
     last = rows[len(ODD)]
