@@ -1,14 +1,15 @@
-"""Approximate nearest neighbours by an inverted multi-index.
+"""Nearest neighbours by an inverted multi-index.
 
 Vectors are cut into two halves; each half has ``CENTROIDS`` centroids of its own, so an entry falls into one of
 CENTROIDS^2 cells. A query walks over pairs of centroids by their summed distance, with a heap that starts from the
-nearest of either half, until the cells passed hold at least ``share`` of all entries (and at least ``least``); then the
-entries of those cells are reranked by the exact distance.
+nearest of either half, until the cells passed hold at least ``share`` of all entries (and at least ``least``); the
+entries of those cells are reranked by the exact distance. Of the cells left, those are read too that may hold an entry
+as near as the k-th found, by the distance to their centroids and their radius; so the neighbours are exact at every size.
 
 Centroids are fitted on at most ``FIT_ROWS`` vectors, those whose ids hash lowest; every vector is indexed. Entries are
 dealt out to shards by the hash of their id, so a cell that holds a third of all rows is spread over all shards. Each
 block of queries meets each shard once and leaves its nearest ``k`` of the shard. What is collected or broadcast is
-bounded: the fit's rows, the centroids and one count per cell.
+bounded: the fit's rows, the centroids and a count and two radii per cell.
 
 Defined results: vectors that are null, zero, hold null or non-finite components, have a null id or another length than
 most rows take no part; rows that repeat an id are one vector, the smallest; ties go to the smaller id; a query with
@@ -31,7 +32,7 @@ from millrace.llm.common import stored
 CENTROIDS = 64
 FIT_ROWS = 10_000
 SHARE = 0.55
-LEAST = 2_000
+LEAST = 100
 SHARD_ROWS = 4_096
 QUERY_ROWS = 1_024
 
@@ -60,6 +61,7 @@ class Index:
         self.books = [centroids(sample[:, :self.half], k), centroids(sample[:, self.half:], k)]
         self.width = len(self.books[1])
         self.counts = np.zeros(len(self.books[0]) * self.width, dtype=np.int64)
+        self.radii = np.zeros((2, len(self.counts)))
 
     def parts(self, x: np.ndarray):
         return x[:, :self.half], x[:, self.half:]
@@ -68,6 +70,16 @@ class Index:
         first, second = (squared(p, b).argmin(1) for p, b in zip(self.parts(x), self.books))
         return first * self.width + second
 
+    def reach(self, x: np.ndarray) -> list[np.ndarray]:
+        """Distances of the halves to their centroids."""
+        return [np.sqrt(((p - b[squared(p, b).argmin(1)]) ** 2).sum(1)) for p, b in zip(self.parts(x), self.books)]
+
+    def bounds(self, queries: np.ndarray) -> np.ndarray:
+        """No entry of a cell is nearer to a query than this."""
+        first, second = (np.sqrt(squared(p, b)) for p, b in zip(self.parts(queries), self.books))
+        first, second = np.repeat(first, self.width, axis=1), np.tile(second, (1, len(self.books[0])))
+        return np.sqrt(np.maximum(first - self.radii[0], 0) ** 2 + np.maximum(second - self.radii[1], 0) ** 2)
+
     def walk(self, first: np.ndarray, second: np.ndarray, wanted: int) -> list[int]:
         """The cells by summed distance until they hold ``wanted`` entries; first, second: distances to the centroids."""
         rows, cols = first.argsort(kind="stable").tolist(), second.argsort(kind="stable").tolist()
@@ -125,17 +137,20 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, share: float = SH
         return spark.createDataFrame([], schema)
     index = Index(np.concatenate([matrix(c, dim) for c in sample.column(0).chunks if len(c)]))
     books = spark.sparkContext.broadcast(index)
-    indexed = StructType.fromDDL("vec_id long, embedding array<double>, cell int")
+    indexed = StructType.fromDDL("vec_id long, embedding array<double>, cell int, near double, far double")
 
     def assign(batches):
         arrow = to_arrow_schema(indexed)
         for batch in batches:
-            cell = books.value.cells(matrix(batch.column(1), dim)).astype(np.int32) if len(batch) else []
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1).cast(arrow.field(1).type), pa.array(cell, pa.int32())], schema=arrow)
+            x = matrix(batch.column(1), dim)
+            cell, reach = (books.value.cells(x).astype(np.int32), books.value.reach(x)) if len(batch) else ([], [[], []])
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), batch.column(1).cast(arrow.field(1).type), pa.array(cell, pa.int32()), *[pa.array(r, pa.float64()) for r in reach]], schema=arrow)
 
     entries = stored(rows.mapInArrow(assign, indexed), "vectors")
-    for r in entries.groupBy("cell").count().collect():             # at most CENTROIDS^2 rows
-        index.counts[r["cell"]] = r["count"]
+    for r in entries.groupBy("cell").agg(F.count("*").alias("n"), F.max("near").alias("near"), F.max("far").alias("far")).collect():   # at most CENTROIDS^2 rows
+        index.counts[r["cell"]] = r["n"]
+        index.radii[:, r["cell"]] = r["near"], r["far"]
     total = int(index.counts.sum())
     walker = spark.sparkContext.broadcast(index)
     wanted = max(least, int(np.ceil(share * total)))
@@ -151,7 +166,7 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, share: float = SH
     blocks = max(1, -(-entries.where(F.col("vec_id") % every == 0).count() // QUERY_ROWS))
     queries = entries.where(F.col("vec_id") % every == 0).select("vec_id", "embedding").mapInArrow(ask, asked).withColumn(
         "block", F.pmod(F.xxhash64("query_id"), F.lit(blocks))).withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
-    candidates = entries.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards))).withColumn(
+    candidates = entries.select("vec_id", "embedding", "cell").withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards))).withColumn(
         "block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
 
     def rerank(asking: pa.Table, entry: pa.Table) -> pa.Table:
@@ -163,15 +178,23 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, share: float = SH
             distance = np.full((len(q), len(x)), np.inf)
             order = np.argsort(cell, kind="stable")
             starts = np.flatnonzero(np.diff(cell[order], prepend=-1))
-            for members in np.split(order, starts[1:]):
-                near = np.flatnonzero(bits[:, cell[members[0]]])
-                for at in range(0, len(members), 256):
-                    some = members[at:at + 256]
-                    for block in range(0, len(near), 128):
-                        to = near[block:block + 128]
-                        distance[np.ix_(to, some)] = np.sqrt(((q[to, None, :] - x[None, some, :]) ** 2).sum(axis=2))
             asked_ids = asking.column("query_id").to_numpy()
-            distance[asked_ids[:, None] == ids[None]] = np.inf
+
+            def read(wanted):
+                for members in np.split(order, starts[1:]):
+                    near = np.flatnonzero(wanted[:, cell[members[0]]])
+                    for at in range(0, len(members), 256):
+                        some = members[at:at + 256]
+                        for block in range(0, len(near), 128):
+                            to = near[block:block + 128]
+                            distance[np.ix_(to, some)] = np.sqrt(((q[to, None, :] - x[None, some, :]) ** 2).sum(axis=2))
+                distance[asked_ids[:, None] == ids[None]] = np.inf
+
+            read(bits)
+            farthest = np.partition(distance, k - 1, axis=1)[:, k - 1] if len(x) > k else np.full(len(q), np.inf)
+            bounds = walker.value.bounds(q)
+            # A little slack for rounding.
+            read((bounds <= farthest[:, None] + 1e-6 * (1 + bounds)) & ~bits[:, :bounds.shape[1]])
             for i, own in enumerate(asked_ids):
                 row = distance[i]
                 edge = np.partition(row, k - 1)[k - 1] if len(row) > k else np.inf
@@ -187,7 +210,7 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, share: float = SH
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-# Exact neighbours: up to LEAST vectors every cell is visited.
+# Exact neighbours, at every size.
 SQL = """
 WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
 d AS (SELECT q.vec_id AS query_id, x.vec_id AS vec_id, list_distance(q.e, x.e) AS score

@@ -201,6 +201,22 @@ def test_recall_of_the_index(spark):
     assert len(got & want) / len(want) >= 0.9
 
 
+@pytest.mark.parametrize("n, dim", [(1500, 16), (2500, 64), (6000, 64)])
+def test_neighbours_are_exact_at_every_size(spark, n, dim):
+    rows = [(i, v.tolist()) for i, v in enumerate(np.random.default_rng(n).normal(size=(n, dim)))]
+    assert sorted(tuple(r)[:3] for r in ann.nearest(vectors(spark, rows)).collect()) == [r[:3] for r in brute_nearest(rows)]
+
+
+def test_cells_are_no_nearer_than_their_bounds():
+    rng = np.random.default_rng(6)
+    x, q = rng.normal(size=(500, 8)), rng.normal(size=(20, 8))
+    index = ann.Index(x[:300], 5)
+    cells, reach = index.cells(x), index.reach(x)
+    for c in range(25):
+        index.radii[:, c] = [r[cells == c].max(initial=0) for r in reach]
+    assert (np.sqrt(ann.squared(q, x)) >= index.bounds(q)[:, cells] - 1e-9).all()
+
+
 def test_walk_is_by_summed_distance():
     rng = np.random.default_rng(5)
     index = ann.Index(rng.normal(size=(400, 8)), 7)
