@@ -111,6 +111,18 @@ def is_jwt(text: str) -> bool:
     return isinstance(head, dict) and isinstance(head.get("alg"), str)
 
 
+def jwts(text: str) -> list[tuple[int, int]]:
+    """Spans of tokens; behind a failed candidate's first part the search goes on."""
+    out, at = [], 0
+    while m := JWT.search(text, at):
+        if is_jwt(m[0]):
+            out.append(m.span())
+            at = m.end()
+        else:
+            at = text.index(".", m.start()) + 1
+    return out
+
+
 def find(text: str) -> list[tuple[str, int, int]]:
     """All spans (kind, start, end) by start, then kind as listed in KINDS."""
     spans = []
@@ -121,7 +133,7 @@ def find(text: str) -> list[tuple[str, int, int]]:
         spans += [("access", *m.span()) for m in ACCESS.finditer(text) if m.end() - m.start() >= ACCESS_LEAST]
     if len(max(text.split(), key=len, default="")) >= STRETCH:
         spans += [("hex", *m.span()) for m in HEX.finditer(text) if m.end() - m.start() >= HEX_LEAST]
-        spans += [("jwt", *m.span()) for m in JWT.finditer(text) if is_jwt(m[0])]
+        spans += [("jwt", *s) for s in jwts(text)]
         keys = {m.span() for m in BASE64.finditer(text) if is_key(unbase64(m[0]))}
         keys |= {m.span() for m in LONG_HEX.finditer(text) if is_key(bytes.fromhex(m[0]))}
         spans += [("key", *s) for s in keys]
