@@ -71,6 +71,13 @@ def test_odd_rows_pass_every_stage(spark):
         assert out.count() == (6 if table is docs else 0)
 
 
+def test_tokens_are_decoded_again(spark):
+    texts = ["plain words", "Ñandú 🙂\n\ttabs  and blanks ", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["decoded_sha256"] for r in corpus_pipeline.encode_tokens(spark, docs, SF).collect()}
+    assert got == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in enumerate(texts)}
+
+
 def test_stages_are_the_five_in_order():
     assert [f.__name__ for _, f in corpus_pipeline.STAGES] == ["drop_toxic", "drop_near_copies", "drop_contaminated", "mask_secrets", "encode_tokens"]
 
