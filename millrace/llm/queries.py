@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import ann, bpe, decontaminate, licenses, lm, near_dedup, secrets, suffix_dedup, token_output, toxicity
+from millrace.llm import ann, bpe, decontaminate, licenses, lm, near_dedup, piece_bpe, secrets, suffix_dedup, token_output, toxicity
 from millrace.llm.common import table
 from millrace.session import work_dir
 
@@ -14,6 +14,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def pieces_path() -> str:
+    """The SentencePiece file that the registered queries use; installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 QUERIES = {
     "op1_suffix_dedup": lambda spark, d: suffix_dedup.report(table(spark, d, "documents")),
     "op2_bpe": lambda spark, d: bpe.digests(table(spark, d, "documents"), tokenizer_path()),
@@ -25,6 +32,7 @@ QUERIES = {
     "op8_token_output": lambda spark, d: token_output.report(table(spark, d, "documents"), tokenizer_path(), work_dir(spark, "token-files")),
     "op9_ann": lambda spark, d: ann.nearest(table(spark, d, "embeddings")),
     "op10_lm_score": lambda spark, d: lm.score(table(spark, d, "documents")),
+    "op13_sentencepiece": lambda spark, d: piece_bpe.digests(table(spark, d, "documents"), pieces_path()),
 }
 
 ORACLES = {
