@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from millrace.llm import ann, bpe, decontaminate, licenses, lm, near_dedup, piece_bpe, secrets, suffix_dedup, token_output, toxicity
+from millrace.llm import (
+    ann, bpe, decontaminate, licenses, lm, near_dedup, piece_bpe, prefix_trie, secrets, suffix_dedup, token_output, toxicity, vector_codes)
 from millrace.llm.common import table
 from millrace.session import work_dir
 
@@ -32,6 +33,8 @@ QUERIES = {
     "op8_token_output": lambda spark, d: token_output.report(table(spark, d, "documents"), tokenizer_path(), work_dir(spark, "token-files")),
     "op9_ann": lambda spark, d: ann.nearest(table(spark, d, "embeddings")),
     "op10_lm_score": lambda spark, d: lm.score(table(spark, d, "documents")),
+    "op11_vector_codes": lambda spark, d: vector_codes.report(table(spark, d, "embeddings")),
+    "op12_prefix_trie": lambda spark, d: prefix_trie.trie(table(spark, d, "conversations")),
     "op13_sentencepiece": lambda spark, d: piece_bpe.digests(table(spark, d, "documents"), pieces_path()),
 }
 
@@ -40,4 +43,6 @@ ORACLES = {
     "op3_decontaminate": decontaminate.SQL,
     "op7_near_dedup": near_dedup.SQL,
     "op9_ann": ann.SQL,
+    "op11_vector_codes": vector_codes.SQL,
+    "op12_prefix_trie": prefix_trie.SQL,
 }
