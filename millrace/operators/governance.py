@@ -161,6 +161,7 @@ class CatalogueRule:
     condition: str
     severity: str
     tenant: str | None = None
+    version: str = "1"
 
 
 SEVERITIES = ("informational", "warning", "blocking")  # fixed values, rising
@@ -206,6 +207,27 @@ def rule_outcomes(events: DataFrame, rules: Sequence[CatalogueRule]) -> DataFram
     }).drop("_hits", "_top")
 
 
+def rule_evaluations(events: DataFrame, rules: Sequence[CatalogueRule]) -> DataFrame:
+    """One row per event and rule that applies to it, whether it fired or not: rule_id, rule_version, rule_type, severity, fired."""
+    def evaluated(r: CatalogueRule) -> Column:
+        applies = F.col("event_type").rlike(r.event_pattern)
+        if r.tenant is not None:
+            applies = applies & (F.col("tenant_id") == r.tenant)
+        return F.when(applies, F.struct(
+            F.lit(r.rule_id).alias("rule_id"), F.lit(r.version).alias("rule_version"), F.lit(r.rule_type).alias("rule_type"),
+            F.lit(r.severity).alias("severity"), F.coalesce(F.expr(r.condition), F.lit(False)).alias("fired")))
+
+    return events.select(*events.columns, F.inline(F.array_compact(F.array(*[evaluated(r) for r in rules]))))
+
+
+def audit_records(evaluations: DataFrame, actor: str, at: Column) -> DataFrame:
+    """One record per evaluation: who judged, by which version of which rule, what came of it, when, and the event's lineage."""
+    lineage = F.struct("correlation_id", "causation_no", "source_system", "produced_at")
+    return evaluations.select(
+        "event_no", F.lit("rule_evaluation").alias("action"), F.lit(actor).alias("actor"), "rule_id", "rule_version",
+        "fired", at.alias("evaluated_at"), lineage.alias("lineage"))
+
+
 def causation_links(events: DataFrame) -> DataFrame:
     """Each event with a cause, the type of that cause, and whether the cause is unknown (an orphan)."""
     effects = events.filter("causation_no IS NOT NULL").select("event_no", "causation_no")

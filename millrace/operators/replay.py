@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.operators.joins import lookup_join
+from millrace.operators import intervals, ordered
+from millrace.operators.joins import BROADCAST_ROWS, lookup_join
 
 # Request states and allowed transitions, event lifecycle states.
 REQUEST_STATES = ("REQUESTED", "APPROVED", "PREPARED", "EXECUTING", "COMPLETED", "REJECTED")
@@ -20,23 +23,47 @@ def is_transition(before: Column, after: Column, allowed) -> Column:
     return F.concat_ws(">", before, after).isin(*[f"{a}>{b}" for a, b in allowed])
 
 
-def select_events(events: DataFrame, requests: DataFrame) -> DataFrame:
-    """Pairs of request and event, by event, by correlation, or by tenant, type and window.
+# Levels of the index that are no time blocks: single events, and correlations.
+EVENT_LEVEL, CORRELATION_LEVEL = -1, -2
+INDEX = ["_level", "_block", "_who"]
+
+
+def _index_of(level: int, who: Column) -> Column:
+    return F.array(F.struct(F.lit(level).alias("_level"), F.lit(0).cast("long").alias("_block"), who.cast("long").alias("_who")))
+
+
+def _indexed_windows(blocks: Column, tenant: Column, event_type: Column) -> Column:
+    who = F.xxhash64(tenant, event_type)
+    return F.transform(blocks, lambda b: F.struct(b["level"].alias("_level"), b["block"].alias("_block"), who.alias("_who")))
 
-    Windows are cut into days, so each form is an equi-join.
+
+def select_events(events: DataFrame, requests: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Pairs of request and event, by event, by correlation, or by tenant, type and window, in one scan of the events.
+
+    All three kinds share one index: a level, a block and whose it is. A window takes the few dyadic blocks that cover
+    it, an event one entry for itself, one for its correlation and one per level in use; each pair meets at most once.
+    The join's candidates are then checked exactly, hashes and window edges.
     """
-    kind = lambda name: requests.filter(F.col("replay_kind") == name)
-    by_event = lookup_join(events, kind("event").select("request_id", "event_no"), ["event_no"], "inner", ["event_no"])
-    by_correlation = lookup_join(
-        events, kind("correlation").select("request_id", "correlation_id"), ["correlation_id"], "inner", ["event_no"])
-    days = kind("window").filter(F.col("window_to") > F.col("window_from")).select(
-        "request_id", "tenant_id", "event_type", "window_from", "window_to",
-        F.explode(F.sequence(F.to_date("window_from"), F.to_date("window_to"))).alias("_day"))
-    by_window = lookup_join(
-        events.withColumn("_day", F.to_date("produced_at")), days, ["tenant_id", "event_type", "_day"], "inner", ["event_no"]
-    ).filter((F.col("produced_at") >= F.col("window_from")) & (F.col("produced_at") < F.col("window_to")))
-    parts = [p.select("request_id", *events.columns) for p in (by_event, by_correlation, by_window)]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    kind = F.col("replay_kind")
+    spans = [intervals.micros(F.col(name)) for name in ("window_from", "window_to")]
+    entries = (
+        F.when(kind == "event", _index_of(EVENT_LEVEL, F.col("event_no")))
+        .when(kind == "correlation", _index_of(CORRELATION_LEVEL, F.xxhash64("correlation_id")))
+        .when(kind == "window", _indexed_windows(intervals.covering_blocks(*spans), F.col("tenant_id"), F.col("event_type"))))
+    asked = ("event_no", "correlation_id", "tenant_id", "event_type", "window_from", "window_to")
+    wanted = requests.select("request_id", kind.alias("_kind"), *[F.col(c).alias(f"_{c}") for c in asked], F.inline(entries))
+    levels = sorted(r[0] for r in wanted.select("_level").distinct().collect())    # at most one per bit of a long, and two
+    at = intervals.micros(F.col("produced_at"))
+    offered = F.concat(
+        _index_of(EVENT_LEVEL, F.col("event_no")), _index_of(CORRELATION_LEVEL, F.xxhash64("correlation_id")),
+        _indexed_windows(intervals.blocks_at(at, [k for k in levels if k >= 0]), F.col("tenant_id"), F.col("event_type")))
+    candidates = lookup_join(events.select(*events.columns, F.inline(offered)), wanted, INDEX, "inner", ["event_no"], max_rows)
+    exact = (
+        F.when(F.col("_kind") == "event", F.col("_event_no") == F.col("event_no"))
+        .when(F.col("_kind") == "correlation", F.col("_correlation_id") == F.col("correlation_id"))
+        .otherwise((F.col("_tenant_id") == F.col("tenant_id")) & (F.col("_event_type") == F.col("event_type"))
+                   & (F.col("produced_at") >= F.col("_window_from")) & (F.col("produced_at") < F.col("_window_to"))))
+    return candidates.filter(exact).select("request_id", *events.columns)
 
 
 def request_violations(requests: DataFrame, as_of: Column, retention_days: int) -> DataFrame:
@@ -57,11 +84,70 @@ def request_violations(requests: DataFrame, as_of: Column, retention_days: int)
     return requests.select("request_id", F.explode(found).alias("violation"))
 
 
-def summarise(replayed: DataFrame, requests: DataFrame) -> DataFrame:
-    """Events, time span and rule outcomes per request, requests without events included."""
+def runnable(requests: DataFrame, as_of: Column, retention_days: int) -> DataFrame:
+    """Requests that may be executed: approved, about to be prepared, and breaking no rule."""
+    broken = request_violations(requests, as_of, retention_days).select("request_id").distinct()
+    ready = (F.col("state") == "APPROVED") & (F.col("next_state") == "PREPARED")
+    return requests.filter(ready).join(broken, "request_id", "left_anti")
+
+
+MESSAGE_MISSING, ACCEPTED = "message_missing", "accepted"
+
+
+def reprocess(selected: DataFrame, messages: DataFrame, path: str, canonicalize: Callable[[DataFrame], DataFrame],
+              enrich: Callable[[DataFrame], DataFrame], outcome_columns: tuple[str, ...]) -> DataFrame:
+    """Replay what was selected, in an area of its own below ``path``; returns one row per request and event.
+
+    Only messages of selected events (msg_id = event_no) are canonicalised, each once however many requests want it, and
+    enriched by the rules of today. Accepted events go to ``events/request_id=...``, numbered in their order within the
+    request, everything else with its reason to ``failures/request_id=...``; tables of live traffic are not touched.
+    """
+    spark = selected.sparkSession
+    numbered = ordered.with_neighbours(selected, "request_id", ["produced_at", "event_no"], sequence="replay_no")
+    numbered.write.parquet(f"{path}/selected")
+    chosen = spark.read.schema(numbered.schema).parquet(f"{path}/selected")
+    wanted = chosen.select(F.col("event_no").alias("msg_id")).distinct()
+    canonicalize(lookup_join(messages, wanted, ["msg_id"], "left_semi", ["msg_id"])).write.parquet(f"{path}/canonical")
+    canonical = spark.read.parquet(f"{path}/canonical")
+    accepted = enrich(canonical.filter("error_reason IS NULL")).select("msg_id", F.lit(ACCEPTED).alias("outcome"), *outcome_columns)
+    nothing = [F.lit(None).cast(accepted.schema[c].dataType).alias(c) for c in outcome_columns]
+    rejected = canonical.filter("error_reason IS NOT NULL").select("msg_id", F.col("error_reason").alias("outcome"), *nothing)
+    results = accepted.unionByName(rejected).withColumnRenamed("msg_id", "event_no")
+    out = chosen.join(results, "event_no", "left").withColumn("outcome", F.coalesce("outcome", F.lit(MESSAGE_MISSING)))
+    out.write.parquet(f"{path}/results")
+    out = spark.read.schema(out.schema).parquet(f"{path}/results")
+    done = F.col("outcome") == ACCEPTED
+    for name, rows in (("events", out.filter(done)), ("failures", out.filter(~done))):
+        rows.hint("rebalance", "request_id").write.partitionBy("request_id").parquet(f"{path}/{name}")
+    return out
+
+
+def audit(results: DataFrame, requests: DataFrame, at: Column) -> DataFrame:
+    """One record per replayed event: who asked, what became of it under which rule, when, and where it came from."""
+    actors = requests.select("request_id", F.col("requesting_team").alias("actor"), "justification")
+    lineage = F.struct("correlation_id", "causation_no", "source_system", "produced_at")
+    return lookup_join(results, actors, ["request_id"], "left", ["event_no"]).select(
+        "request_id", "event_no", F.lit("replay").alias("action"), "actor", "justification", "replay_no", "outcome",
+        F.col("compliance_rule_id").alias("rule_id"), at.alias("evaluated_at"), lineage.alias("lineage"))
+
+
+def summarise(replayed: DataFrame, requests: DataFrame, consumers: DataFrame | None = None, outcome: str | None = None) -> DataFrame:
+    """Events, time span and rule outcomes per request, requests without events included.
+
+    With ``consumers`` (consumer, event_no) also how many consumers are affected; with ``outcome`` (a column that says
+    ``accepted`` or why not) also how many events failed.
+    """
     totals = replayed.groupBy("request_id").agg(
         F.count("*").alias("events"), F.min("produced_at").alias("first_at"), F.max("produced_at").alias("last_at"),
         F.count_if("rule_fired").alias("rules_fired"), F.count_if("rejected").alias("rejected"))
+    counts = ["rules_fired", "rejected"]
+    if outcome:
+        failed = replayed.groupBy("request_id").agg(F.count_if(F.col(outcome) != ACCEPTED).alias("failures"))
+        totals, counts = totals.join(failed, "request_id"), [*counts, "failures"]
+    if consumers is not None:
+        seen = replayed.select("request_id", "event_no").join(consumers, "event_no")
+        affected = seen.select("request_id", "consumer").distinct().groupBy("request_id").agg(F.count("*").alias("consumers"))
+        totals, counts = totals.join(affected, "request_id", "left"), [*counts, "consumers"]
     zero = lambda name: F.coalesce(name, F.lit(0)).alias(name)
     return requests.select("request_id").join(totals, "request_id", "left").select(
-        "request_id", zero("events"), "first_at", "last_at", zero("rules_fired"), zero("rejected"))
+        "request_id", zero("events"), "first_at", "last_at", *[zero(c) for c in counts])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions import masking
-from millrace.operators import compliance, curated, governance as gov, ordered, replay, schema_registry, structure
+from millrace.operators import canonical as can, compliance, curated, governance as gov, ordered, replay, schema_registry, structure
 from millrace.operators.joins import lookup_join
 from millrace.session import work_dir
 from workload.fixtures import Lake
@@ -233,6 +233,26 @@ def audit_log(lake):
     return lake.spark.read.parquet(path)
 
 
+EVALUATED_SQL = {
+    "PHI-001": ("true", "data_classification IN ('phi', 'pii') AND contains(payload, 'lab_code')"),
+    "PHI-002": ("true", "data_classification IN ('phi', 'pii') AND contains(payload, '\"dob\"')"),
+    "RET-004": ("starts_with(event_type, 'claims.')", "true"),
+    "TENANT-010": ("tenant_id = 'tenant-2'", "source_system = 'src-4'"),
+    "CLASS-020": ("true", "data_classification NOT IN ('phi', 'pii') AND contains(payload, '\"dob\"')"),
+}
+
+
+@query("audit_evaluations", uses="env", sql=" UNION ALL ".join(f"""
+SELECT event_no, 'rule_evaluation' AS action, 'rule-engine' AS actor, '{name}' AS rule_id, '1' AS rule_version, {fired} AS fired,
+ TIMESTAMP '{AS_OF}' AS evaluated_at, correlation_id, causation_no, source_system, produced_at FROM env WHERE {applies}"""
+    for name, (applies, fired) in EVALUATED_SQL.items()))
+def audit_evaluations(lake):
+    """One append-only record per event and rule that applies, with the rule's version and the event's lineage."""
+    path = work_dir(lake.spark, "audit-evaluations")
+    gov.audit_records(gov.rule_evaluations(envelopes(lake), CATALOGUE), "rule-engine", as_of()).write.mode("append").parquet(path)
+    return lake.spark.read.parquet(path).select("*", "lineage.*").drop("lineage")
+
+
 # --- masking ------------------------------------------------------------------------
 
 
@@ -443,6 +463,17 @@ def out_of_order(lake):
         "event_id", "delivery_no", "source_system", "latest_before")
 
 
+@query("arrival_offsets", uses="deliveries", sql="""
+SELECT event_id, delivery_no, source_system, row_number() OVER w AS offset_no, lag(event_id) OVER w AS previous_event, lead(event_id) OVER w AS next_event
+FROM deliveries WINDOW w AS (PARTITION BY source_system ORDER BY s3_last_modified, event_id, delivery_no)""")
+def arrival_offsets(lake):
+    """The place of every delivery in its source's order of arrival. Sources are few and large, so ranges are kept short."""
+    rows = lake.fixture("deliveries").select("event_id", "delivery_no", "source_system", "s3_last_modified")
+    return ordered.with_neighbours(
+        rows, "source_system", ["s3_last_modified", "event_id", "delivery_no"], previous={"previous_event": "event_id"},
+        following={"next_event": "event_id"}, sequence="offset_no", hot_rows=1_000).drop("s3_last_modified")
+
+
 # --- replay -------------------------------------------------------------------------
 
 oracle_view("replayed", ("judged", "replay_requests"), """
@@ -453,12 +484,13 @@ UNION ALL SELECT r.request_id, e.* FROM judged e JOIN replay_requests r ON r.rep
 
 
 def replayed(lake: Lake) -> DataFrame:
-    return replay.select_events(judged(lake), lake.fixture("replay_requests"))
+    """Selected first, judged after."""
+    return gov.rule_outcomes(replay.select_events(envelopes(lake), lake.fixture("replay_requests")), CATALOGUE)
 
 
 @query("replay_select", uses="replayed", sql="SELECT request_id, event_no FROM replayed")
 def replay_select(lake):
-    return replayed(lake).select("request_id", "event_no")
+    return replay.select_events(envelopes(lake), lake.fixture("replay_requests")).select("request_id", "event_no")
 
 
 @query("replay_summary", uses=("replayed", "replay_requests"), sql="""
@@ -484,14 +516,67 @@ def replay_request_check(lake):
     return replay.request_violations(lake.fixture("replay_requests"), F.lit(AS_OF).cast("timestamp_ntz"), 40)
 
 
-@query("replay_reprocess", uses="enriched", sql="""
-SELECT 'replay-1' AS replay_id, msg_id, compliance_flag, compliance_reason, compliance_rule_id FROM enriched WHERE format = 'hl7'""")
-def replay_reprocess(lake):
-    """Canonicalise and enrich again into a folder of the replay's own."""
+RETENTION_DAYS = 40
+oracle_view("runs", ("replayed", "replay_requests"), f"""
+SELECT r.*, q.requesting_team, q.justification, row_number() OVER (PARTITION BY r.request_id ORDER BY r.produced_at, r.event_no) AS replay_no
+FROM replayed r JOIN replay_requests q USING (request_id) WHERE q.state = 'APPROVED' AND q.next_state = 'PREPARED'
+ AND NOT ({' OR '.join(f"coalesce({test}, false)" for test in REQUEST_SQL.values())})""".replace("coalesce(tenant_id", "coalesce(q.tenant_id"))
+oracle_view("replay_results", ("runs", "canon", "enriched"), """
+SELECT r.*, CASE WHEN c.msg_id IS NULL THEN 'message_missing' ELSE coalesce(c.error_reason, 'accepted') END AS outcome,
+ e.compliance_flag, e.compliance_reason, e.compliance_rule_id
+FROM runs r LEFT JOIN canon c ON c.msg_id = r.event_no LEFT JOIN enriched e ON e.msg_id = r.event_no""")
+
+
+def executed(lake: Lake) -> tuple[DataFrame, DataFrame, str]:
+    """(requests run, one row per request and replayed event, the folder of this replay)."""
+    requests = replay.runnable(lake.fixture("replay_requests"), as_of(), RETENTION_DAYS)
     path = work_dir(lake.spark, "replay")
-    again = compliance.enrich(canonical(lake), rules(lake)).filter("format = 'hl7'")
-    again.select(F.lit("replay-1").alias("replay_id"), "msg_id", *OUTCOME[1:3], OUTCOME[4]).write.partitionBy("replay_id").parquet(path)
-    return lake.spark.read.parquet(path)
+    results = replay.reprocess(
+        replay.select_events(envelopes(lake), requests), messages(lake), path, can.canonicalize,
+        lambda events: compliance.enrich(events, rules(lake)), (*OUTCOME[1:3], OUTCOME[4]))
+    return requests, results, path
+
+
+@query("replay_reprocess", uses="replay_results", sql="""
+SELECT request_id, event_no, replay_no, compliance_flag, compliance_reason, compliance_rule_id FROM replay_results WHERE outcome = 'accepted'""")
+def replay_reprocess(lake):
+    """Approved requests executed; what their own output holds."""
+    _, _, path = executed(lake)
+    return lake.spark.read.parquet(f"{path}/events").select(
+        "request_id", "event_no", "replay_no", "compliance_flag", "compliance_reason", "compliance_rule_id")
+
+
+@query("replay_failures", uses="replay_results", sql="SELECT request_id, event_no, outcome FROM replay_results WHERE outcome <> 'accepted'")
+def replay_failures(lake):
+    _, _, path = executed(lake)
+    return lake.spark.read.parquet(f"{path}/failures").select("request_id", "event_no", "outcome")
+
+
+@query("replay_audit", uses="replay_results", sql=f"""
+SELECT request_id, event_no, 'replay' AS action, requesting_team AS actor, justification, replay_no, outcome, compliance_rule_id AS rule_id,
+ TIMESTAMP '{AS_OF}' AS evaluated_at, correlation_id, causation_no, source_system, produced_at FROM replay_results""")
+def replay_audit(lake):
+    requests, results, _ = executed(lake)
+    path = work_dir(lake.spark, "replay-audit")
+    replay.audit(results, requests, as_of()).write.mode("append").parquet(path)
+    return lake.spark.read.parquet(path).select("*", "lineage.*").drop("lineage")
+
+
+@query("replay_report", uses=("replay_results", "runs", "replay_requests"), sql=f"""
+WITH seen AS (SELECT DISTINCT r.request_id, a.consumer FROM replay_results r JOIN (VALUES {', '.join(str(a) for a in ACL)}) a(consumer, tenant_id, t, data_classification)
+ ON r.tenant_id = a.tenant_id AND r.data_classification = a.data_classification AND (a.t = r.event_type OR (a.t = '*' AND r.data_classification NOT IN ('phi', 'pii')))),
+ c AS (SELECT request_id, count(*) AS consumers FROM seen GROUP BY 1),
+ q AS (SELECT request_id FROM replay_requests WHERE state = 'APPROVED' AND next_state = 'PREPARED' AND NOT ({' OR '.join(f"coalesce({test}, false)" for test in REQUEST_SQL.values())}))
+SELECT q.request_id, count(r.event_no) AS events, min(r.produced_at) AS first_at, max(r.produced_at) AS last_at,
+ count(*) FILTER (WHERE r.rules_fired > 0) AS rules_fired, count(*) FILTER (WHERE r.severity = 'blocking') AS rejected,
+ count(*) FILTER (WHERE r.outcome <> 'accepted') AS failures, coalesce(any_value(c.consumers), 0) AS consumers
+FROM q LEFT JOIN replay_results r USING (request_id) LEFT JOIN c USING (request_id) GROUP BY 1""")
+def replay_report(lake):
+    """The summary of executed requests: events, rule outcomes, failures and the consumers affected."""
+    requests, results, _ = executed(lake)
+    acl = lake.spark.createDataFrame(list(ACL), "consumer string, tenant_id string, event_type string, data_classification string")
+    consumers = gov.consumer_view(results.select("event_no", "event_id", "tenant_id", "event_type", "data_classification").distinct(), acl).select("consumer", "event_no")
+    return replay.summarise(gov.rule_outcomes(results, CATALOGUE), requests, consumers, "outcome")
 
 
 # --- schemas ------------------------------------------------------------------------
