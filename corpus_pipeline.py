@@ -63,10 +63,9 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ids = bpe.encode(docs, tokenizer_path()).select(
-        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), "ids", F.col("ids").alias("copy"))
-    back = bpe.decode(ids, tokenizer_path(), "copy", "decoded")
-    return back.select("doc_id", "n_tokens", "ids_sha256", "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    return bpe.round_trip(docs, tokenizer_path()).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), "ids",
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 
 STAGES = [

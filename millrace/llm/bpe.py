@@ -35,8 +35,9 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 # The same by the standard library, much faster, for texts without the characters that its classes take otherwise.
 PLAIN = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 UNLIKE = frozenset(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) in ("No", "Nl") or "\x1c" <= c <= "\x1f")
-# Words and other stretches of text remembered by a worker, with their ids.
-REMEMBERED = 500_000
+# Bytes that a worker spends on remembered words and other stretches of text, about; what one costs besides its letters and ids.
+REMEMBERED = 64 << 20
+OVERHEAD = 200
 # Words of up to this many bytes go through their trees together.
 SHORT = 64
 NONE = np.int64(1) << 62
@@ -81,6 +82,7 @@ class Vocabulary:
         self.split_words = regex.compile(PATTERN)
         self.known: dict[str, bytes] = {}
         self.seen: set[str] = set()
+        self.held = 0
 
     def place_pairs(self, keys: np.ndarray, ranks: np.ndarray) -> None:
         """Hash tables of pair -> rank without chains: what finds its place taken goes to the next, smaller table."""
@@ -232,11 +234,12 @@ class Vocabulary:
         wanted = set().union(*cut)
         known = self.known
         fresh = [t for t in wanted if t not in known]
-        if len(known) + len(fresh) > REMEMBERED:
+        if self.held > REMEMBERED:
             # What has come again since the last such cut stays known; the rest is worked out again when it comes.
-            keep = self.seen if len(self.seen) < REMEMBERED // 2 else set()
+            keep = self.seen if sum(OVERHEAD + 2 * len(t) for t in self.seen) < REMEMBERED // 2 else set()
             known = self.known = {t: ids for t, ids in known.items() if t in keep or t in wanted}
             self.seen = set()
+            self.held = sum(OVERHEAD + 2 * len(t) + len(ids) for t, ids in known.items())
         else:
             self.seen |= wanted.difference(fresh)
         words, split = set(), {}
@@ -255,6 +258,7 @@ class Vocabulary:
             known[t] = b"".join([known[p] for p in parts])
         for t, i in self.added.items():
             known[t] = np.array([i], "<u4").tobytes()
+        self.held += sum(OVERHEAD + 2 * len(t) + len(known[t]) for part in (fresh, words) for t in part)
         return [b"".join(map(known.__getitem__, c)) for c in cut]
 
     def decode(self, ids: bytes) -> str:
@@ -296,8 +300,23 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids", text_col: str =
     return encoded.select(*[F.col(f"`{f.name}`") for f in rest], F.col(ids_col)).mapInArrow(run, schema)
 
 
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, ids, text): encoded, and decoded from these ids by the same worker, so that a core holds one vocabulary."""
+    schema = StructType.fromDDL("doc_id long, ids binary, text string")
+
+    def run(batches):
+        vocab, arrow = vocabulary(path), to_arrow_schema(schema)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                ids = vocab.encode(part.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), pa.array(map(vocab.decode, ids), pa.string())], schema=arrow)
+
+    return keyed(docs, id_col, text_col).mapInArrow(run, schema)
+
+
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: every text encoded and decoded again."""
-    ids = encode(docs, path).select(
-        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), "ids")
-    return decode(ids, path).select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+    return round_trip(docs, path).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
