@@ -42,17 +42,25 @@ def _outcome(hit: Column) -> dict[str, Column]:
     }
 
 
+def lookup_of(rules: DataFrame, key: Sequence[str] = ENTITY_KEY, newest: str = "updated_at") -> DataFrame:
+    """The columns of each key's most recent rule that ``enrich`` reads."""
+    return latest_rules(rules, key, newest).select(*key, "id", "rule_type", "compliance_flag", "reason_code")
+
+
 def enrich(events: DataFrame, rules: DataFrame, newest: str = "updated_at", match_format: bool = False,
            at: Column | None = None, salt: Sequence[str] = ("event_id",),
-           max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Annotate accepted events with their entity's rule, or with the fallback."""
+           max_rows: int = BROADCAST_ROWS, prepared: bool = False) -> DataFrame:
+    """Annotate accepted events with their entity's rule, or with the fallback.
+
+    With ``prepared`` the rules are a stored result of ``lookup_of``.
+    """
     key = [*ENTITY_KEY]
     if match_format:
         alias = F.coalesce(*[F.when(F.lower("source_format") == a, F.lit(b)) for a, b in FORMAT_ALIASES.items()],
                            F.lower("source_format"))
         rules = rules.withColumn("format", alias)
         key += ["format", "event_type"]
-    lookup = latest_rules(rules, key, newest).select(*key, "id", "rule_type", "compliance_flag", "reason_code")
+    lookup = rules if prepared else lookup_of(rules, key, newest)
     joined = lookup_join(events.filter(F.col("error_reason").isNull()), lookup, key, "left", salt, max_rows)
     out = joined.withColumns(_outcome(F.col("id").isNotNull()))
     if at is not None:

@@ -11,6 +11,7 @@ from millrace import schemas
 from millrace.operators import golden as gold
 from millrace.plans import views
 from millrace.sources import writers
+from millrace.streaming.keys import GENERATIONS, KeyHistory
 from millrace.streaming.tables import append_to, batch_path, compact, merged, run_available
 
 def document_stream(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
@@ -61,21 +62,23 @@ def window_totals(spark: SparkSession, path: str, *keys: str) -> DataFrame:
     return merged(spark, path, lambda parts: parts.groupBy("window_start", *keys).agg(F.sum("n").alias("n")))
 
 
-def first_rows(stream: DataFrame, path: str, quarantine: str, checkpoint: str, key: str) -> None:
+def first_rows(stream: DataFrame, path: str, quarantine: str, checkpoint: str, key: str, generations: int = GENERATIONS) -> None:
     """First row per key over all micro-batches; repeats may come at any time. Rows without a key go to quarantine.
 
-    Each batch meets the keys stored before it in one join on the key; its own files, from a run that failed, don't count.
+    Keys of earlier batches are found through a history in hash buckets behind Bloom filters (``<path>-keys``), so a
+    batch opens only what may hold its keys, however long the history. A batch run again replaces its own files.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        history = KeyHistory(batch.sparkSession, f"{path}-keys", key)
         kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
         fresh = kept.filter(F.col(key).isNotNull()).dropDuplicates([key])
-        if batch_id > 0:
-            known = spark.read.schema(fresh.select(key).schema.add("batch_id", "long")).parquet(path).filter(F.col("batch_id") < batch_id)
-            fresh = fresh.join(known.select(key), key, "left_anti").select(*batch.columns)
+        fresh = fresh.join(history.known(fresh.select(key), batch_id), key, "left_anti").select(*batch.columns)
         fresh.write.mode("overwrite").parquet(batch_path(path, batch_id))
         kept.filter(F.col(key).isNull()).write.mode("overwrite").parquet(batch_path(quarantine, batch_id))
         kept.unpersist()
+        history.add(batch.sparkSession.read.schema(batch.schema).parquet(batch_path(path, batch_id)), batch_id)
+        if len(history.generations()) >= generations:
+            history.compact()
 
     run_available(stream, checkpoint, each)
 
@@ -121,7 +124,7 @@ def enrich_batches(stream: DataFrame, path: str, quarantine: str, checkpoint: st
                    enrich: Callable[[DataFrame], DataFrame]) -> None:
     """Apply ``canonical`` and ``enrich`` to each micro-batch: accepted events to ``path``, rejected ones to quarantine.
 
-    ``enrich`` reads the rules anew every time, so changed rules take effect with the next batch.
+    ``enrich`` decides how old its rules may be, for instance by a ``Refreshed`` lookup.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
         events = canonical(batch).persist(StorageLevel.MEMORY_AND_DISK)

@@ -6,9 +6,12 @@ run again after a failure replaces its own files and nothing else.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+
+from millrace.operators.epochs import REFRESH_SECONDS
 
 
 def batch_path(path: str, batch_id: int) -> str:
@@ -54,8 +57,25 @@ def _generations(spark: SparkSession, path: str) -> list[int]:
     return [int(f.getPath().getParent().getName().split("=")[1]) for f in found or ()]
 
 
-def latest_updates(spark: SparkSession, path: str, key: Sequence[str]) -> DataFrame:
+def latest_updates(spark: SparkSession, path: str, key: Sequence[str], where: Column | None = None) -> DataFrame:
     """Current rows of a table written in update mode: the last batch wins per key."""
     rows = spark.read.parquet(path)
+    rows = rows if where is None else rows.filter(where)
     rank = F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("batch_id")))
     return rows.withColumn("_rank", rank).filter("_rank = 1").drop("_rank", "batch_id")
+
+
+class Refreshed:
+    """A table derived and stored once, and again when it is used after ``seconds`` have passed."""
+
+    def __init__(self, spark: SparkSession, path: str, load: Callable[[], DataFrame], seconds: float = REFRESH_SECONDS):
+        self.spark, self.path, self.load, self.seconds = spark, path, load, seconds
+        self.times, self.stored_at, self.frame = 0, 0.0, None
+
+    def current(self) -> DataFrame:
+        if self.frame is None or time.monotonic() - self.stored_at >= self.seconds:
+            rows = self.load()
+            rows.write.mode("overwrite").parquet(f"{self.path}/refresh={self.times}")
+            self.frame = self.spark.read.schema(rows.schema).parquet(f"{self.path}/refresh={self.times}")
+            self.times, self.stored_at = self.times + 1, time.monotonic()
+        return self.frame

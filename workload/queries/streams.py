@@ -4,17 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.operators import canonical as can, compliance
+from millrace.operators import canonical as can, compliance, epochs, replay
 from millrace.session import work_dir
-from millrace.streaming import jobs
+from millrace.streaming import jobs, lifecycle
+from millrace.streaming.tables import Refreshed, append_to, run_available
 from workload.fixtures import Lake
+import workload.queries.governance  # noqa: F401  (the timeline's SQL)
 from workload.queries.compliance import rules
 from workload.queries.golden import RUN_TIME, documents
 from workload.queries.views import LATE_SQL
 from workload.registry import oracle_view, query
 
 
-ARRIVALS = 4  # files, each a micro-batch of its own
+ARRIVALS = 4  # each a micro-batch of its own
+FILES = 8     # files of one arrival
 
 # Arrivals without a time, in both engines.
 UNTIMED = "event_id % 101 = 7"
@@ -23,12 +26,12 @@ SELECT * REPLACE (CASE WHEN {UNTIMED} THEN NULL ELSE transmission_timestamp END
 
 
 def arriving(lake: Lake, rows: DataFrame, number: str) -> DataFrame:
-    """``rows`` as a stream of ARRIVALS files, one per micro-batch. ``number`` deals them out, so that repeats and late rows
+    """``rows`` as a stream of ARRIVALS micro-batches of FILES files. ``number`` deals them out, so that repeats and late rows
     of one key come in other batches than its first row."""
     path = f"{work_dir(lake.spark, 'arriving')}/files"
     for k in range(ARRIVALS):
-        rows.filter(F.expr(f"pmod({number}, {ARRIVALS}) = {k}")).coalesce(1).write.mode("append").parquet(path)
-    return lake.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        rows.filter(F.expr(f"pmod({number}, {ARRIVALS}) = {k}")).repartition(FILES).write.mode("append").parquet(path)
+    return lake.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES).parquet(path)
 
 
 def deliveries(lake: Lake) -> DataFrame:
@@ -100,6 +103,15 @@ def stream_lifecycle(lake):
     return jobs.lifecycles(lake.spark, path, "correlation_id")
 
 
+@query("stream_transitions", uses="timeline", sql="SELECT event_no, correlation_id, state, previous_state FROM timeline")
+def stream_transitions(lake):
+    """Followed with keyed state over several micro-batches; equal to the ordered batch plan."""
+    path, checkpoint = _paths(lake, "stream-transitions")
+    lifecycle.follow(states(lake), path, checkpoint, "correlation_id", "at", "state", "event_no", replay.LIFECYCLE_TRANSITIONS, horizon_ms=3650 * lifecycle.DAY_MS)
+    return lifecycle.transitions(lake.spark, path).select(
+        F.col("tie").alias("event_no"), F.col("key").alias("correlation_id"), "state", "previous_state")
+
+
 @query("stream_enrich", uses=("canon", "enriched"), sql="""
 SELECT msg_id, 'accepted' AS outcome, compliance_flag, compliance_reason, compliance_rule_id FROM enriched
 UNION ALL SELECT msg_id, error_reason, NULL, NULL, NULL FROM canon WHERE error_reason IS NOT NULL""")
@@ -110,8 +122,10 @@ def stream_enrich(lake):
     def canonical(batch: DataFrame) -> DataFrame:
         return can.canonicalize(Lake(batch.sparkSession, lake.sf_dir).derive("raw_messages", batch))
 
+    lookup = Refreshed(lake.spark, f"{path}-rules", lambda: compliance.lookup_of(rules(lake)))
+
     def enrich(events: DataFrame) -> DataFrame:
-        return compliance.enrich(events, rules(Lake(events.sparkSession, lake.sf_dir)))
+        return compliance.enrich(events, lookup.current(), prepared=True)
 
     jobs.enrich_batches(orders, path, f"{path}-quarantine", checkpoint, canonical, enrich)
     good = lake.spark.read.parquet(path).select("msg_id", F.lit("accepted").alias("outcome"), "compliance_flag", "compliance_reason", "compliance_rule_id")
@@ -120,3 +134,43 @@ def stream_enrich(lake):
         "msg_id", F.col("error_reason").alias("outcome"), none.cast("boolean").alias("compliance_flag"),
         none.cast("string").alias("compliance_reason"), none.cast("string").alias("compliance_rule_id"))
     return good.unionByName(bad)
+
+
+# Two versions of a rule per customer, changed at some second between 1992 and 1998.
+CHANGED = "timestampadd(SECOND, CAST((c_custkey * 37 + v * 911) % 2400 * 86400 + c_custkey % 86400 AS INT), TIMESTAMP_NTZ '1992-01-01 00:00:00')"
+oracle_view("rule_history", (), """
+SELECT c_custkey, concat('r-', c_custkey, '-', v) AS rule_id, TIMESTAMP '1992-01-01' + to_seconds((c_custkey * 37 + v * 911) % 2400 * 86400 + c_custkey % 86400) AS changed_at
+FROM customer, (VALUES (1), (2)) t(v) WHERE c_custkey % 4 <> 0""")
+oracle_view("rule_epochs", ("rule_history",), """
+SELECT c_custkey, rule_id, TIMESTAMP '1970-01-01' + to_seconds(CAST(ceil(epoch(changed_at) / 300) * 300 AS BIGINT)) AS visible_from
+FROM rule_history QUALIFY row_number() OVER (PARTITION BY c_custkey, ceil(epoch(changed_at) / 300) ORDER BY changed_at DESC, rule_id) = 1""")
+AT_TIME_SQL = """
+SELECT o_orderkey, r.rule_id FROM orders ASOF LEFT JOIN rule_epochs r ON o_custkey = r.c_custkey AND o_orderdate >= r.visible_from"""
+
+
+def rule_versions(lake: Lake) -> DataFrame:
+    history = lake.sql(f"""
+SELECT c_custkey AS o_custkey, concat('r-', CAST(c_custkey AS STRING), '-', CAST(v AS STRING)) AS id, {CHANGED} AS updated_at
+FROM customer LATERAL VIEW explode(array(1, 2)) t AS v WHERE c_custkey % 4 <> 0""")
+    return epochs.versions(history.withColumn("rule_id", F.col("id")), ["o_custkey"])
+
+
+@query("rules_at_event_time", uses="rule_epochs", sql=AT_TIME_SQL)
+def rules_at_event_time(lake):
+    """Each order's rule as it stood at the order's time, rules being read every 300 s."""
+    orders = lake.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    return epochs.rules_at(orders, rule_versions(lake), ["o_custkey"], "o_orderdate", "o_orderkey", ["rule_id"]).select("o_orderkey", "rule_id")
+
+
+@query("stream_rules_at_event_time", uses="rule_epochs", sql=AT_TIME_SQL)
+def stream_rules_at_event_time(lake):
+    path, checkpoint = _paths(lake, "stream-epochs")
+    history = Refreshed(lake.spark, f"{path}-rules", lambda: rule_versions(lake))
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.select("o_orderkey", "o_custkey", "o_orderdate")
+        held = epochs.versions_for(rows, history.current(), ["o_custkey"])
+        append_to(path)(epochs.rules_at(rows, held, ["o_custkey"], "o_orderdate", "o_orderkey", ["rule_id"]), batch_id)
+
+    run_available(arriving(lake, lake.table("orders"), "o_orderkey"), checkpoint, each)
+    return lake.spark.read.parquet(path).select("o_orderkey", "rule_id")
