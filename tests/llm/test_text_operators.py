@@ -240,3 +240,30 @@ def test_other_columns_are_ignored(spark):
     docs = documents(spark, ["MIT License"]).withColumn("start", F.lit(3)).withColumn("kind", F.lit("k"))
     assert licenses.scan_licenses(docs).columns == ["doc_id", "n_words", "phrases", "notices"]
     assert secrets.scan_secrets(docs).columns == ["doc_id", "spans"]
+
+
+def test_secrets_in_long_texts_without_blanks_take_linear_time():
+    import time
+
+    took = []
+    for n in (200_000, 1_600_000):
+        start = time.process_time()
+        for text in ("a" * n, "ab." * (n // 3), "abcdefghijkl." * (n // 13), "A1" * (n // 2)):
+            secrets.find(text)
+        took.append(time.process_time() - start)
+    assert took[1] < 30 * max(took[0], 0.05)                       # 64 times, were it quadratic
+    assert secrets.find("x." * 5 + jwt({"alg": "HS256"}) + ".tail")[0][0] == "jwt"
+
+
+def openssh(public=b"ssh-ed25519", cut=0):
+    field = lambda x: len(x).to_bytes(4, "big") + x
+    data = b"openssh-key-v1\0" + field(b"none") + field(b"none") + field(b"") + (1).to_bytes(4, "big")
+    data += field(field(public) + field(b"k" * 32)) + field(b"p" * 64)
+    return base64.b64encode(data[:len(data) - cut]).decode()
+
+
+def test_openssh_keys_are_parsed_to_their_end():
+    assert [k for k, *_ in secrets.find(openssh()) if k == "key"] == ["key"]
+    words = base64.b64encode(b"openssh-key-v1\0 followed by plain words that are no key at all").decode()
+    for wrong in (openssh(cut=3), openssh(public=b"no algorithm"), words):
+        assert not [k for k, *_ in secrets.find(wrong) if k == "key"]
