@@ -76,6 +76,7 @@ def first_rows(stream: DataFrame, path: str, quarantine: str, checkpoint: str, k
         fresh.write.mode("overwrite").parquet(batch_path(path, batch_id))
         kept.filter(F.col(key).isNull()).write.mode("overwrite").parquet(batch_path(quarantine, batch_id))
         kept.unpersist()
+        history.release()
         history.add(batch.sparkSession.read.schema(batch.schema).parquet(batch_path(path, batch_id)), batch_id)
         if len(history.generations()) >= generations:
             history.compact()
@@ -122,14 +123,16 @@ def compact_lifecycles(spark: SparkSession, path: str, key: str) -> None:
 
 def enrich_batches(stream: DataFrame, path: str, quarantine: str, checkpoint: str, canonical: Callable[[DataFrame], DataFrame],
                    enrich: Callable[[DataFrame], DataFrame]) -> None:
-    """Apply ``canonical`` and ``enrich`` to each micro-batch: accepted events to ``path``, rejected ones to quarantine.
+    """Apply ``canonical`` to the stream and ``enrich`` to each micro-batch: accepted events to ``path``, rejected ones to quarantine.
+
+    ``canonical`` is a projection, so the stream itself carries it and its large plan is analysed once, not per batch.
 
     ``enrich`` decides how old its rules may be, for instance by a ``Refreshed`` lookup.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
-        events = canonical(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        events = batch.persist(StorageLevel.MEMORY_AND_DISK)
         enrich(events.filter("error_reason IS NULL")).write.mode("overwrite").parquet(batch_path(path, batch_id))
         events.filter("error_reason IS NOT NULL").write.mode("overwrite").parquet(batch_path(quarantine, batch_id))
         events.unpersist()
 
-    run_available(stream, checkpoint, each)
+    run_available(canonical(stream), checkpoint, each)

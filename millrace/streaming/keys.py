@@ -16,12 +16,13 @@ from __future__ import annotations
 import re
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 BITS = 10
 PROBES = 4
 BLOCK_BITS = 1 << 15        # what one bitmap of Spark's holds
-BUCKETS = 64
+BUCKETS = 16
 GENERATIONS = 16            # so many are folded into one
 
 
@@ -77,30 +78,40 @@ class KeyHistory:
         self._write(keys.select(self.key), batch_id, batch_id)
 
     def candidates(self, keys: DataFrame, batch_id: int) -> DataFrame:
-        """(key, first, last, bucket): where a key may be stored, by the filters of earlier batches."""
-        placed = keys.select(self.key, F.pmod(_hash(self.key, 3), F.lit(self.buckets)).cast("int").alias("bucket"))
-        wanted = [r[0] for r in placed.select("bucket").distinct().collect()]       # at most one per bucket
-        out = None
-        for generation in self.generations(batch_id):
-            first, last, blocks = generation
-            filters = self.spark.read.schema("block int, bitmap binary, bucket int").parquet(self._folder("filters", generation)).where(
-                F.col("bucket").isin(wanted))
-            probed = placed.withColumn("block", F.pmod(_hash(self.key, 4), F.lit(blocks)).cast("int")).join(filters, ["bucket", "block"])
-            for k in range(PROBES):
-                probed = probed.filter(_bit(F.col("bitmap"), _probe(self.key, k)))
-            some = probed.select(self.key, F.lit(first).alias("first"), F.lit(last).alias("last"), "bucket")
-            out = some if out is None else out.unionByName(some)
-        return out if out is not None else placed.select(self.key, F.lit(0).alias("first"), F.lit(0).alias("last"), "bucket").limit(0)
+        """(key, from, upto, bucket): where a key may be stored, by the filters of earlier batches."""
+        generations = self.generations(batch_id)
+        places = F.array(*[F.struct(*[F.lit(x).alias(n) for n, x in zip(("from", "upto", "blocks"), g)]) for g in generations]).cast(
+            "array<struct<from:int,upto:int,blocks:int>>")
+        bucket = F.pmod(_hash(self.key, 3), F.lit(self.buckets)).cast("int").alias("bucket")
+        placed = keys.select(self.key, bucket, F.inline(places)).withColumn("block", F.pmod(_hash(self.key, 4), F.col("blocks")).cast("int"))
+        if not generations:
+            return placed.select(self.key, "from", "upto", "bucket")
+        wanted = [r[0] for r in keys.select(bucket).distinct().collect()]       # at most one per bucket
+        filters = self.spark.read.schema("block int, bitmap binary, from int, upto int, blocks int, bucket int").option(
+            "basePath", f"{self.path}/filters").parquet(*[self._folder("filters", g) for g in generations]).where(F.col("bucket").isin(wanted))
+        probed = placed.join(filters, ["from", "upto", "blocks", "bucket", "block"])
+        for k in range(PROBES):
+            probed = probed.filter(_bit(F.col("bitmap"), _probe(self.key, k)))
+        return probed.select(self.key, "from", "upto", "bucket")
 
     def known(self, keys: DataFrame, batch_id: int) -> DataFrame:
         """Those of ``keys`` that an earlier batch brought, by the stored keys of the buckets that may hold them."""
-        candidates = self.candidates(keys, batch_id)
-        opened = {(r["first"], r["last"], r["bucket"]) for r in candidates.select("first", "last", "bucket").distinct().collect()}
         schema = keys.select(self.key).schema
-        paths = [f"{self._folder('keys', g)}/bucket={b}" for g in self.generations(batch_id) for b in range(self.buckets) if (*g[:2], b) in opened]
+        generations = self.generations(batch_id)
+        if not generations:
+            return self.spark.createDataFrame([], schema)
+        candidates = self._held = self.candidates(keys, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
+        opened = {tuple(r) for r in candidates.select("from", "upto", "bucket").distinct().collect()}      # at most generations x buckets
+        paths = [f"{self._folder('keys', g)}/bucket={b}" for g in generations for b in range(self.buckets) if (*g[:2], b) in opened]
         if not paths:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths).join(candidates.select(self.key).distinct(), self.key, "left_semi")
+        return self.spark.read.schema(schema).parquet(*paths).join(candidates.select(self.key), self.key, "left_semi")
+
+    def release(self) -> None:
+        """Give back what ``known`` keeps until its result has been used."""
+        if self._held is not None:
+            self._held.unpersist()
+            self._held = None
 
     def _holds_keys(self, generation: tuple[int, int, int]) -> bool:
         filters = self.spark.read.schema("block int, bucket int").parquet(self._folder("filters", generation))

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.lineage import build_lineage
 from millrace.operators import golden as gold
 from millrace.operators.detect import detect_format
 from millrace.session import work_dir
-from millrace.sources import readers, writers
+from millrace.sources import observed, readers, writers
 from workload.fixtures import Lake
 from workload.queries.messages import messages
 from workload.registry import oracle_view, query
@@ -101,6 +103,46 @@ def record_counters(lake):
     return gold.record_counters(documents(lake))
 
 
+def job_run(lake: Lake) -> tuple[str, dict]:
+    """Valid and invalid documents written, each with the report of its write."""
+    path = work_dir(lake.spark, "job-run")
+    valid, invalid = gold.split_validity(stored(lake))
+    rows = gold.flatten(valid, F.lit(RUN_TIME))
+    rejected = invalid.select("error_reason", "trace_id", F.to_date(F.lit(RUN_TIME)).alias("error_date"))
+    return path, {
+        "golden": observed.observed_write(writers.tagged(rows), f"{path}/golden", writers.GOLDEN_PARTITIONS),
+        "quarantine": observed.observed_write(rejected, f"{path}/quarantine", ["error_date"], format="json")}
+
+
+@query("write_counters", uses="docs", sql="""
+SELECT CASE WHEN is_valid THEN 'golden' ELSE 'quarantine' END AS target, count(*) AS written_records,
+ CASE WHEN is_valid THEN count(DISTINCT (CAST(produced_at AS DATE), format)) ELSE 1 END AS partitions, true AS bytes_agree, true AS timed FROM docs GROUP BY is_valid""")
+def write_counters(lake):
+    """Records, bytes and time as the writes report them; bytes are compared with the files that a reader finds."""
+    path, reports = job_run(lake)
+    size = lambda df: df.select("_metadata.file_path", "_metadata.file_size").distinct().agg(F.sum("file_size").alias("found"))
+    found = size(lake.spark.read.parquet(f"{path}/golden")).withColumn("target", F.lit("golden")).unionByName(
+        size(lake.spark.read.schema("error_reason string").json(f"{path}/quarantine")).withColumn("target", F.lit("quarantine")))
+    return observed.counters(lake.spark, reports).join(found, "target").select(
+        "target", "written_records", "partitions", (F.col("bytes_written") == F.col("found")).alias("bytes_agree"),
+        (F.col("write_seconds") > 0).alias("timed"))
+
+
+@query("catalogue_refresh", uses="docs", sql="""
+SELECT CAST(produced_at AS DATE) AS event_date, format AS format_partition, count(*) AS n, count(*) FILTER (WHERE event_id % 2 = 1) AS later
+FROM docs WHERE is_valid GROUP BY 1, 2""")
+def catalogue_refresh(lake):
+    """A table registered from the reports of two writes, the second with a column more."""
+    path, name = work_dir(lake.spark, "catalogue"), f"golden_{uuid.uuid4().hex}"
+    rows = golden_rows(lake)
+    odd = F.col("event_id").cast("long") % 2 == 1
+    for part in (rows.filter(~odd), rows.filter(odd).withColumn("later", F.lit(True))):
+        report = observed.observed_write(part, path, writers.GOLDEN_PARTITIONS)
+        observed.register_written(lake.spark, name, path, part.schema, writers.GOLDEN_PARTITIONS, report)
+    return lake.spark.table(name).groupBy("event_date", "format_partition").agg(
+        F.count("*").alias("n"), F.count_if(F.col("later")).alias("later"))
+
+
 FLAT = ("produced_at", "ingest_timestamp", "canonicalization_timestamp", "write_timestamp", "transmission_timestamp",
         "dispatched_at", "glue_processed_at")
 FLAT_SQL = f"""

@@ -119,8 +119,8 @@ def stream_enrich(lake):
     path, checkpoint = _paths(lake, "stream-enrich")
     orders = arriving(lake, lake.table("orders"), "o_orderkey")
 
-    def canonical(batch: DataFrame) -> DataFrame:
-        return can.canonicalize(Lake(batch.sparkSession, lake.sf_dir).derive("raw_messages", batch))
+    def canonical(arrived: DataFrame) -> DataFrame:
+        return can.canonicalize(lake.derive("raw_messages", arrived))
 
     lookup = Refreshed(lake.spark, f"{path}-rules", lambda: compliance.lookup_of(rules(lake)))
 
