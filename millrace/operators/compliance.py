@@ -90,17 +90,22 @@ def first_store_wins(stores: Sequence[tuple[str, DataFrame]], newest: str = "upd
     return ranked.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") == 1).drop("_rank", "_priority")
 
 
+def merge_rules(rows: DataFrame) -> DataFrame:
+    """One row per rule key of rows marked by ``_run``: flag, reason and updated_at of the last, id and created_at of the first."""
+    age = F.struct("_run", "updated_at", "id")
+    merged = rows.groupBy(*RULE_KEY).agg(
+        F.max_by(F.struct("compliance_flag", "reason_code", "updated_at"), age).alias("_now"),
+        F.min_by(F.struct("id", "created_at"), age).alias("_first"))
+    return merged.select(*RULE_KEY, "_now.*", "_first.*")
+
+
 def upsert_rules(base: DataFrame, changes: DataFrame) -> DataFrame:
     """Insert changes; on an equal rule key update flag, reason and updated_at.
 
     The id and created_at of an existing rule are kept.
     """
-    both = base.withColumn("_new", F.lit(0)).unionByName(changes.withColumn("_new", F.lit(1)))
-    age = F.struct("_new", "updated_at", "id")
-    merged = both.groupBy(*RULE_KEY).agg(
-        F.max_by(F.struct("compliance_flag", "reason_code", "updated_at"), age).alias("_now"),
-        F.min_by(F.struct("id", "created_at"), age).alias("_first"))
-    return merged.select(*RULE_KEY, "_now.*", "_first.*").select(*base.columns)
+    both = base.withColumn("_run", F.lit(0)).unionByName(changes.withColumn("_run", F.lit(1)))
+    return merge_rules(both).select(*base.columns)
 
 
 def unique_violations(rules: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.operators import compliance
 from millrace.operators.detect import DEFAULT_RULES, DetectionRule
 from millrace.plans import metrics
+from millrace.session import work_dir
+from millrace.sources.merge_table import MergeTable
 from millrace.sources.readers import flatten_key_value_rules
 from workload.fixtures import Lake
 from workload.queries.messages import canonical
@@ -115,7 +117,7 @@ def changes(lake: Lake) -> DataFrame:
         "created_at": later, "updated_at": later})
 
 
-@query("rules_upsert", uses="timed_rules", sql="""
+UPSERT_SQL = """
 WITH changes AS (SELECT concat(id, '-c') AS id, entity_type, entity_id,
  CASE WHEN CAST(entity_id AS BIGINT) % 6 = 2 THEN 'new_rule' ELSE rule_type END AS rule_type, NOT compliance_flag AS compliance_flag,
  'CHANGED' AS reason_code, source_format, event_type, created_at + INTERVAL 24 HOUR AS created_at, updated_at + INTERVAL 24 HOUR AS updated_at
@@ -124,12 +126,29 @@ SELECT coalesce(b.id, c.id) AS id, coalesce(c.entity_id, b.entity_id) AS entity_
  coalesce(c.compliance_flag, b.compliance_flag) AS compliance_flag, CASE WHEN c.id IS NOT NULL THEN c.reason_code ELSE b.reason_code END AS reason_code,
  coalesce(b.created_at, c.created_at) AS created_at, coalesce(c.updated_at, b.updated_at) AS updated_at
 FROM timed_rules b FULL JOIN changes c ON b.entity_type = c.entity_type AND b.entity_id = c.entity_id AND b.rule_type = c.rule_type
- AND b.source_format = c.source_format AND b.event_type = c.event_type""")
+ AND b.source_format = c.source_format AND b.event_type = c.event_type"""
+
+
+@query("rules_upsert", uses="timed_rules", sql=UPSERT_SQL)
 def rules_upsert(lake):
     return compliance.upsert_rules(rules(lake), changes(lake)).select(
         "id", "entity_id", "rule_type", "compliance_flag", "reason_code", "created_at", "updated_at")
 
 
+@query("rules_merge_table", uses="timed_rules", sql=UPSERT_SQL)
+def rules_merge_table(lake):
+    """The rules as a merge table: a base, a change in two commits, and a writer that died before publishing a third."""
+    base = rules(lake)
+    table = MergeTable(lake.spark, work_dir(lake.spark, "rule-table"), base.schema, compliance.RULE_KEY, compliance.merge_rules)
+    table.commit(base)
+    table.compact()
+    later, half = changes(lake), F.col("entity_id").cast("bigint") % 4 == 0
+    table.commit(later.filter(half))
+    later.withColumn("reason_code", F.lit("LOST")).write.parquet(f"{table.path}/runs/unpublished")
+    table.commit(later.filter(~half))
+    return table.read().select("id", "entity_id", "rule_type", "compliance_flag", "reason_code", "created_at", "updated_at")
+
+
 @query("rules_unique_violations", uses="timed_rules", sql="""
 SELECT entity_type, entity_id, rule_type, source_format, event_type, CAST(2 AS BIGINT) AS copies FROM timed_rules
 WHERE CAST(entity_id AS BIGINT) % 2 = 0 AND CAST(entity_id AS BIGINT) % 6 <> 2""")

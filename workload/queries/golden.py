@@ -10,7 +10,8 @@ from millrace.functions.lineage import build_lineage
 from millrace.operators import golden as gold
 from millrace.operators.detect import detect_format
 from millrace.session import work_dir
-from millrace.sources import observed, readers, writers
+from millrace.sources import merge_table, observed, readers, writers
+from millrace.sources.merge_table import MergeTable
 from workload.fixtures import Lake
 from workload.queries.messages import messages
 from workload.registry import oracle_view, query
@@ -186,9 +187,27 @@ def quarantine_roundtrip(lake):
         path).select("envelope.event_id", "error_reason", "trace_id")
 
 
-@query("raw_zone_write", uses="docs", sql="""
+RAW_ZONE_SQL = """
 SELECT source_system, event_type, doc_id AS event_id, trace_id, CAST(delivery_no AS BIGINT) AS delivery_no FROM docs
-QUALIFY row_number() OVER (PARTITION BY source_system, event_type, event_id ORDER BY transmission_timestamp DESC) = 1""")
+QUALIFY row_number() OVER (PARTITION BY source_system, event_type, event_id ORDER BY transmission_timestamp DESC) = 1"""
+
+
+@query("raw_zone_merge", uses="docs", sql=RAW_ZONE_SQL)
+def raw_zone_merge(lake):
+    """Documents as a merge table, one commit per delivery; the first is folded into the base before the others come."""
+    rows = documents(lake).select(
+        "envelope.source_system", "envelope.event_type", "envelope.event_id", "trace_id", F.col("delivery_no").cast("bigint").alias("delivery_no"),
+        "transmission_timestamp")
+    table = MergeTable(lake.spark, work_dir(lake.spark, "raw-table"), rows.schema, writers.RAW_KEY,
+                       merge_table.last_row(writers.RAW_KEY, [F.col("transmission_timestamp")]))
+    table.commit(rows.filter("delivery_no = 0"))
+    table.compact()
+    table.commit(rows.filter("delivery_no = 1"))
+    table.commit(rows.filter("delivery_no = 2"))
+    return table.read().select("source_system", "event_type", "event_id", "trace_id", "delivery_no")
+
+
+@query("raw_zone_write", uses="docs", sql=RAW_ZONE_SQL)
 def raw_zone_write(lake):
     path = work_dir(lake.spark, "raw")
     rows = documents(lake).select(
