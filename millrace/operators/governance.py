@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.jsonx import is_object, may_hold_keys, strict_document
+from millrace.operators import patterns
 from millrace.operators.joins import lookup_join
 
 # Patterns, enumerations, defaults and periods of the event contract.
@@ -139,15 +140,15 @@ def tenant_violations(events: DataFrame, routes: DataFrame) -> DataFrame:
 def consumer_view(events: DataFrame, acl: DataFrame) -> DataFrame:
     """Events each consumer may see. ``acl``: consumer, tenant_id, event_type, data_classification.
 
-    Event type '*' is honoured only outside phi and pii. Grants are resolved on the
-    distinct combinations first, so an event matches each consumer at most once.
+    Event type '*' is honoured only outside phi and pii. A grant for one type is left out where its consumer holds '*'
+    as well, so an event matches each consumer at most once; events offer both keys and are scanned once.
     """
-    combination = ["tenant_id", "event_type", "data_classification"]
-    seen = events.select(*combination).distinct()
-    grants = acl.withColumnRenamed("event_type", "_type").join(seen, ["tenant_id", "data_classification"])
-    wildcard = (F.col("_type") == "*") & ~F.col("data_classification").isin(*SENSITIVE)
-    allowed = grants.filter((F.col("_type") == F.col("event_type")) | wildcard).select("consumer", *combination).distinct()
-    return lookup_join(events, allowed, combination, "inner", ["event_id"])
+    scope = ["tenant_id", "data_classification"]
+    grants = acl.select("consumer", *scope, F.col("event_type").alias("_type")).distinct()
+    wide = grants.filter((F.col("_type") == "*") & ~F.col("data_classification").isin(*SENSITIVE))
+    narrow = grants.filter(F.col("_type") != "*").join(wide.drop("_type"), ["consumer", *scope], "left_anti").select(*grants.columns)
+    offered = events.select("*", F.explode(F.array_distinct(F.array(F.col("event_type"), F.lit("*")))).alias("_type"))
+    return lookup_join(offered, narrow.unionByName(wide), [*scope, "_type"], "inner", ["event_id"]).drop("_type")
 
 
 # --- rule catalogue -----------------------------------------------------------------
@@ -168,18 +169,10 @@ SEVERITIES = ("informational", "warning", "blocking")  # fixed values, rising
 
 
 def catalogue_match(events: DataFrame, catalogue: DataFrame) -> DataFrame:
-    """Pairs of event and applicable rule.
-
-    Patterns are matched against the distinct (event_type, tenant_id) pairs only;
-    events then equi-join the outcome.
-    """
-    pairs = events.select("event_type", "tenant_id").distinct()
-    # One catalogue of bounded size against the distinct pairs.
-    applies = F.rlike("event_type", F.col("event_pattern")) & (
-        F.col("tenant").isNull() | (F.col("tenant") == F.col("tenant_id")))
-    matched = pairs.join(F.broadcast(catalogue), applies).select(
-        "event_type", "tenant_id", "rule_id", "rule_type", "severity")
-    return lookup_join(events, matched, ["event_type", "tenant_id"], "inner", ["event_id"])
+    """Pairs of event and applicable rule, by the keys of the rules' patterns."""
+    rules = catalogue.select("rule_id", "rule_type", "severity", "event_pattern", F.col("tenant").alias("_tenant"))
+    own = F.col("_tenant").isNull() | (F.col("_tenant") == F.col("tenant_id"))
+    return patterns.match(events, rules, ["event_id"]).filter(own).drop("_tenant", "event_pattern")
 
 
 def rule_outcomes(events: DataFrame, rules: Sequence[CatalogueRule]) -> DataFrame:
