@@ -43,6 +43,14 @@ def split_validity(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     return valid, invalid
 
 
+def split_counts(documents: DataFrame) -> DataFrame:
+    """What the split makes of its input, in one aggregate: rows in all, in either part, and in none."""
+    valid = is_valid()
+    return documents.agg(
+        F.count("*").alias("total"), F.count_if(valid).alias("valid"), F.count_if(~valid).alias("invalid"),
+        F.count_if(valid.isNull()).alias("missing"))
+
+
 def flatten(documents: DataFrame, processed_at: Column) -> DataFrame:
     """Golden rows with flat columns. ``processed_at`` is one time for the whole run."""
     stage = lambda name: parse_timestamp(stage_time(F.col("lineage"), name))

@@ -78,9 +78,10 @@ def retention(classification: Column, declared: Column) -> Column:
     return F.when(declared.isin(*RETENTION_POLICIES), declared).otherwise(_case(classification, DEFAULT_RETENTION))
 
 
-def audit_critical(df: DataFrame, critical_types: Sequence[str], flag: Column) -> DataFrame:
-    """Raise retention to 7y for audit-critical types or flagged payloads."""
-    hit = F.col("event_type").isin(*critical_types) | F.coalesce(flag, F.lit(False))
+def audit_critical(df: DataFrame, critical_types: Sequence[str], flag: Column, tenants: Sequence[str] = ()) -> DataFrame:
+    """Raise retention to 7y for audit-critical types, flagged payloads and tenants that require it."""
+    hit = F.coalesce(F.col("event_type").isin(*critical_types), F.lit(False)) | F.coalesce(flag, F.lit(False))
+    hit = hit | F.coalesce(F.col("tenant_id").isin(*tenants), F.lit(False)) if tenants else hit
     return df.withColumns({
         "retention": F.when(hit, F.lit("7y")).otherwise(F.col("retention")),
         "compliance_reason": F.when(hit, F.lit(AUDIT_CRITICAL_REASON)),

@@ -86,16 +86,7 @@ def golden_invalid(lake):
 @query("split_invariant", uses="docs", sql="""
 SELECT count(*) AS total, count(*) FILTER (WHERE is_valid) AS valid, count(*) FILTER (WHERE NOT is_valid) AS invalid, CAST(0 AS BIGINT) AS missing FROM docs""")
 def split_invariant(lake):
-    key = ["trace_id", "transmission_timestamp", "envelope"]
-    rows = documents(lake)
-    valid, invalid = gold.split_validity(rows)
-    tag = lambda df, name: df.select(F.lit(name).alias("part"), *key)
-    rest = rows.select(*key).exceptAll(valid.select(*key).unionAll(invalid.select(*key)))
-    parts = tag(valid, "valid").unionAll(tag(invalid, "invalid")).unionAll(tag(rest, "missing"))
-    part = F.col("part")
-    return parts.agg(
-        F.count("*").alias("total"), F.count_if(part == "valid").alias("valid"),
-        F.count_if(part == "invalid").alias("invalid"), F.count_if(part == "missing").alias("missing"))
+    return gold.split_counts(documents(lake))
 
 
 @query("record_counters", uses="docs", sql="""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions import masking
-from millrace.operators import canonical as can, compliance, curated, governance as gov, ordered, replay, schema_registry, structure
+from millrace.operators import canonical as can, compliance, curated, governance as gov, ordered, replay, schema_registry, structure, vault
 from millrace.operators.joins import lookup_join
 from millrace.session import work_dir
 from workload.fixtures import Lake
@@ -111,6 +111,16 @@ def retention_override(lake):
     return gov.audit_critical(kept(lake), AUDIT_TYPES, flag).select("event_no", "retention", "compliance_reason")
 
 
+@query("retention_override_tenants", uses="kept", sql="""
+SELECT event_no, CASE WHEN hit THEN '7y' ELSE retention END AS retention, CASE WHEN hit THEN 'retention_override: audit_critical' END AS compliance_reason
+FROM (SELECT *, event_type IN ('claims.adjudication.completed', 'pharmacy.order.created') OR contains(payload, '"audit_critical":true') OR tenant_id = 'tenant-2' AS hit FROM kept)""")
+def retention_override_tenants(lake):
+    """All triggers: several critical types, flagged payloads, and a tenant with extended retention."""
+    flag = F.get_json_object("payload", "$.audit_critical") == "true"
+    out = gov.audit_critical(kept(lake), (*AUDIT_TYPES, "pharmacy.order.created"), flag, ("tenant-2",))
+    return out.select("event_no", "retention", "compliance_reason")
+
+
 @query("classification_mismatch", uses="mismatch", sql="""
 SELECT event_no, fired AS rule_fired, CASE WHEN fired THEN 'classification_mismatch' ELSE '' END AS compliance_reason, retention,
  fired OR data_classification IN ('phi', 'pii') AS restricted FROM mismatch""")
@@ -359,6 +369,18 @@ def mask_functions(lake):
     return masking.remove(out, "entity_id")
 
 
+@query("tokenise_ids", uses="canon", sql="""
+SELECT msg_id, entity_id AS restored, true AS kept FROM canon WHERE error_reason IS NULL AND entity_type = 'patient'""")
+def tokenise_ids(lake):
+    """Tokens over two runs: given in the first they hold in the second, and lead back to their values."""
+    rows = stored_canonical(lake).filter("entity_type = 'patient'").select("msg_id", "entity_id")
+    store, path = vault.TokenVault(lake.spark, work_dir(lake.spark, "vault")), work_dir(lake.spark, "first-tokens")
+    store.tokenise(rows.filter("msg_id % 4 < 2"), "entity_id", salt=("msg_id",)).select("msg_id", F.col("token").alias("earlier")).write.parquet(path)
+    second = store.tokenise(rows, "entity_id", salt=("msg_id",)).join(lake.spark.read.parquet(path), "msg_id", "left")
+    return store.restore(second, "token", "restored", ("msg_id",)).select(
+        "msg_id", "restored", F.coalesce(F.col("earlier") == F.col("token"), F.lit(True)).alias("kept"))
+
+
 # --- structure and curated data -----------------------------------------------------
 
 STRUCT_SQL = {
