@@ -8,7 +8,8 @@ from millrace.operators import golden as gold
 from millrace.plans import metrics
 from millrace.sources.readers import object_writes, parse_log_lines
 from workload.queries.ingest import PERCENTILE_SQL, log_lines, outcomes
-from workload.queries.views import access_log
+from workload.queries.golden import documents
+from workload.queries.views import access_log, golden
 from workload.registry import oracle_view, query
 
 MS = "(epoch_us({1}) - epoch_us({0})) / 1000.0"
@@ -124,3 +125,18 @@ def alarm_state(lake):
         metrics.request_points(requests), metrics.invalid_points(invalid, "received_at"),
         metrics.job_points(parse_log_lines(log_lines(lake)))]
     return metrics.alarm_state(sources).withColumn("value", F.round("value", 4))
+
+
+JOB_RULES = tuple(r for r in metrics.ALARM_RULES if r.metric in ("schema_drift", "invalid_records"))
+
+
+@query("job_alarms", uses=("golden", "docs"), sql="""
+SELECT 'schema_drift' AS alarm, time_bucket(INTERVAL 5 minutes, glue_processed_at) AS window_start, CAST(count(*) AS DOUBLE) AS value, 'ALARM' AS state
+FROM golden WHERE schema_version <> '1.0' OR canonical_keys > 20 GROUP BY 2
+UNION ALL SELECT 'invalid_records', time_bucket(INTERVAL 5 minutes, transmission_timestamp), CAST(count(*) AS DOUBLE), CASE WHEN count(*) > 100 THEN 'ALARM' ELSE 'OK' END
+FROM docs WHERE NOT is_valid GROUP BY 2""")
+def job_alarms(lake):
+    """Alarms of the golden job on what it wrote itself: both kinds of drift, and its rejected documents."""
+    _, rejected = gold.split_validity(documents(lake))
+    rejected = rejected.withColumn("at", F.to_timestamp_ntz(F.col("transmission_timestamp"), F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")))
+    return metrics.alarm_state([metrics.golden_points(golden(lake)), metrics.invalid_points(rejected, "at")], JOB_RULES)
