@@ -12,7 +12,7 @@ block of queries meets each shard once and leaves its nearest ``k`` of the shard
 bounded: the fit's rows, the centroids and a count and two radii per cell.
 
 Defined results: vectors that are null, zero, hold null or non-finite components, have a null id or another length than
-most rows take no part; rows that repeat an id are one vector, the smallest; ties go to the smaller id; a query with
+most of the others take no part; rows that repeat an id are one vector, the smallest; ties go to the smaller id; a query with
 fewer than k candidates gets all of them; other columns are ignored; an empty table gives an empty one.
 """
 
@@ -109,12 +109,12 @@ class Index:
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """vec_id and embedding (doubles) of the vectors that take part."""
+    """vec_id and embedding (doubles) of the vectors that take part, but for their length; ids may repeat."""
     v = F.col("embedding")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("embedding")).where(
         F.col("vec_id").isNotNull() & v.isNotNull() & (F.size(v) > 0)).where(finite & F.exists(v, lambda x: x != 0))
-    return rows.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    return rows
 
 
 def matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -127,11 +127,11 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, share: float = SH
     spark = vectors.sparkSession
     schema = StructType.fromDDL("query_id long, rank int, vec_id long, score double")
     rows = usable(vectors, id_col, vector_col)
-    lengths = vectors.select(F.size(vector_col).alias("dim")).where("dim > 0").groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
+    lengths = rows.groupBy(F.size("embedding").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
     if lengths is None:
         return spark.createDataFrame([], schema)
     dim = lengths["dim"]
-    rows = rows.where(F.size("embedding") == dim)
+    rows = rows.where(F.size("embedding") == dim).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(FIT_ROWS).select("embedding").toArrow()
     if not len(sample):
         return spark.createDataFrame([], schema)

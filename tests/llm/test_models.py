@@ -276,3 +276,9 @@ def test_token_files_of_odd_rows(spark, tmp_path):
     assert [r["doc_id"] for r in rows] == [None, 0, 1, 2, 3, 4, 4]
     assert [r["start"] for r in rows] == np.concatenate([[0], np.cumsum([r["n_tokens"] for r in rows])[:-1]]).tolist()
     assert token_output.report(documents(spark, ODD).limit(0), PATH, str(tmp_path / "none")).count() == 0
+
+
+def test_vectors_that_take_no_part_do_not_decide_the_length(spark):
+    rows = [(k, [0.0, 0.0]) for k in range(1, 6)] + [(100, [1.0, 2.0, 3.0]), (101, [1.0, 2.0, 4.0]), (102, [5.0, 2.0, 3.0])]
+    got = [tuple(r) for r in ann.nearest(vectors(spark, rows)).collect()]
+    assert sorted(got) == [(100, 1, 101, 1.0), (100, 2, 102, 4.0)]
