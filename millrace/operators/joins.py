@@ -6,15 +6,31 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 BROADCAST_ROWS = 200_000  # a lookup is broadcast only after counting no more rows than this
+BROADCAST_BYTES = 64 << 20  # and no more bytes than this
 SLICES = 16               # pieces a key is split into when the lookup is too large for that
 HOT_ROWS = 1_000_000      # keys with more rows than this are split into pieces of this size
 
 
-def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True if the table has at most ``max_rows`` rows; stops counting beyond."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def _row_bytes(df: DataFrame) -> Column:
+    """About what a row takes: the bytes of texts, 8 for each number or time, nested values by their text."""
+    def size(field) -> Column:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (StringType, BinaryType)):
+            return F.coalesce(F.octet_length(column), F.lit(0)).cast("long")
+        if isinstance(field.dataType, (StructType, ArrayType, MapType)):
+            return F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0)).cast("long")
+        return F.lit(8).cast("long")
+
+    return reduce(lambda a, b: a + b, [size(f) for f in df.schema])
+
+
+def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """True if the table has at most ``max_rows`` rows and ``max_bytes`` bytes, by one aggregate over its partitions."""
+    found = df.agg(F.count("*").alias("rows"), F.sum(_row_bytes(df)).alias("bytes")).first()
+    return found["rows"] <= max_rows and (found["bytes"] or 0) <= max_bytes
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
@@ -34,7 +50,7 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, on: Sequence[str], how: str
                 salt: Sequence[str] = (), max_rows: int = BROADCAST_ROWS, slices: int = SLICES) -> DataFrame:
     """Equi-join a large table with a lookup table.
 
-    The lookup is counted first. Up to ``max_rows`` it is broadcast and the large
+    The lookup is counted first, in rows and bytes. Up to ``max_rows`` it is broadcast and the large
     table is not shuffled. Beyond, both sides are shuffled on the key plus a slice
     number taken from the ``salt`` columns, so no key lands in a single task.
     """

@@ -104,3 +104,12 @@ def test_selection_equals_all_pairs(spark, max_rows):
 def test_selection_without_requests(spark):
     events = spark.createDataFrame([(1, "c", "t", "x", START)], EVENT)
     assert replay.select_events(events, spark.createDataFrame([], REQUEST)).count() == 0
+
+
+def test_lookups_are_measured_in_rows_and_bytes(spark):
+    from millrace.operators.joins import fits
+
+    rows = spark.range(10).select("id", F.repeat(F.lit("é"), 50).alias("odd name"), F.array(F.struct("id")).alias("a"), F.lit(None).cast("binary").alias("b"))
+    assert fits(rows) and fits(rows, 10) and not fits(rows, 9)
+    assert not fits(rows, 10, 1000) and fits(rows, 10, 1500)
+    assert fits(rows.limit(0), 0)
