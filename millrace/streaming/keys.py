@@ -44,6 +44,7 @@ def _bit(bitmap: Column, place: Column) -> Column:
 class KeyHistory:
     def __init__(self, spark: SparkSession, path: str, key: str, buckets: int = BUCKETS):
         self.spark, self.path, self.key, self.buckets = spark, path, key, buckets
+        self._held: DataFrame | None = None
 
     def generations(self, before: int | None = None) -> list[tuple[int, int, int]]:
         """(from, upto, blocks) of the generations in use: complete, and not inside another one."""

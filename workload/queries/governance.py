@@ -563,15 +563,15 @@ def executed(lake: Lake) -> tuple[DataFrame, DataFrame, str]:
 SELECT request_id, event_no, replay_no, compliance_flag, compliance_reason, compliance_rule_id FROM replay_results WHERE outcome = 'accepted'""")
 def replay_reprocess(lake):
     """Approved requests executed; what their own output holds."""
-    _, _, path = executed(lake)
-    return lake.spark.read.parquet(f"{path}/events").select(
+    _, results, path = executed(lake)
+    return lake.spark.read.schema(results.schema).parquet(f"{path}/events").select(
         "request_id", "event_no", "replay_no", "compliance_flag", "compliance_reason", "compliance_rule_id")
 
 
 @query("replay_failures", uses="replay_results", sql="SELECT request_id, event_no, outcome FROM replay_results WHERE outcome <> 'accepted'")
 def replay_failures(lake):
-    _, _, path = executed(lake)
-    return lake.spark.read.parquet(f"{path}/failures").select("request_id", "event_no", "outcome")
+    _, results, path = executed(lake)
+    return lake.spark.read.schema(results.schema).parquet(f"{path}/failures").select("request_id", "event_no", "outcome")
 
 
 @query("replay_audit", uses="replay_results", sql=f"""
