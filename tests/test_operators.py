@@ -34,6 +34,16 @@ def test_salted_lookup_equals_broadcast(spark, how):
     assert "hashpartitioning(key" in plan and "_slice" in plan
 
 
+def test_copies_of_a_large_lookup_are_not_broadcast(spark):
+    """Their size is estimated by that of the lookup's files, far below what 16 copies take in memory."""
+    lookup = spark.range(1000).select(F.col("id").alias("key"), F.lit(1).alias("x"))
+    rows = spark.range(5000).select((F.col("id") % 1200).alias("key"))
+    for how, n in (("left", 5000), ("inner", 4200), ("left_semi", 4200), ("left_anti", 800)):
+        out = lookup_join(rows, lookup, ["key"], how, max_rows=999)
+        assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+        assert out.count() == n
+
+
 def test_spread_join_splits_hot_keys_and_keeps_all_rows(spark):
     rows, df = hot_rows(spark)
     counts = df.groupBy("key").agg(F.count("*").alias("c"))
