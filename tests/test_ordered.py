@@ -101,6 +101,20 @@ def test_selection_equals_all_pairs(spark, max_rows):
     assert len(pairs) == len(set(pairs)) and set(pairs) == wanted
 
 
+def test_many_requests_are_shuffled_not_broadcast(spark):
+    """The index entries of many requests are copied for the join; the estimate of their size says nothing of the copies."""
+    at = F.lit(START).cast("timestamp_ntz")
+    events = spark.range(50).select(
+        F.col("id").alias("event_no"), F.lit("c").alias("correlation_id"), F.lit("t").alias("tenant_id"), F.lit("x").alias("event_type"), at.alias("produced_at"))
+    requests = spark.range(200).select(
+        F.concat(F.lit("r"), "id").alias("request_id"), F.when(F.col("id") < 199, F.lit("event")).otherwise(F.lit("window")).alias("replay_kind"),
+        F.col("id").alias("event_no"), F.lit(None).cast("string").alias("correlation_id"), F.lit("t").alias("tenant_id"), F.lit("x").alias("event_type"),
+        at.alias("window_from"), F.timestamp_add("HOUR", F.lit(2), at).alias("window_to"))
+    found = replay.select_events(events, requests, max_rows=100)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 50 + 50
+
+
 def test_selection_without_requests(spark):
     events = spark.createDataFrame([(1, "c", "t", "x", START)], EVENT)
     assert replay.select_events(events, spark.createDataFrame([], REQUEST)).count() == 0
