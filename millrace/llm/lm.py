@@ -193,15 +193,19 @@ class Block:
             h.append(np.where(inside, self.words.take(token), np.uint64(0)))
             c.append(np.where(inside, self.word_class.take(token), CLASSES).astype(np.uint64))
         raw = (h[0] * SEEDS[0], h[1] * SEEDS[1], h[0] * SEEDS[2] + mix(h[1]), (c[0] * np.uint64(CLASSES + 1) + c[1]) * SEEDS[3] + SEEDS[2])
-        return np.stack([(mix(x) % np.uint64(buckets)).astype(np.int64) for x in raw])
+        return np.stack([(mix(x) & np.uint64(buckets - 1)).astype(np.int64) for x in raw])      # a power of two
 
 
-def log_softmax(weights: np.ndarray, bias: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+def log_softmax(weights: np.ndarray, bias: np.ndarray, buckets: np.ndarray, of: np.ndarray | None = None) -> np.ndarray:
+    """Per row the log-probability of each class, or with ``of`` that of one class."""
     score = bias + weights.take(buckets[0], axis=0)
     for row in buckets[1:]:
         score += weights.take(row, axis=0)
     score -= score.max(axis=1, keepdims=True)
-    score -= np.log(np.exp(score).sum(axis=1, keepdims=True))
+    total = np.log(np.exp(score).sum(axis=1, keepdims=True))
+    if of is not None:
+        return score[np.arange(len(of)), of] - total[:, 0]
+    score -= total
     return score
 
 
@@ -220,7 +224,8 @@ class Trainer:
         self.seen_bias += np.float32((slope.mean(axis=0) ** 2).sum())
         self.bias -= RATE * slope.mean(axis=0) / np.sqrt(self.seen_bias)
         for row in buckets:
-            order = np.argsort(row, kind="stable")
+            # Sorted by radix where the numbers fit into two bytes; the order is the same.
+            order = np.argsort(row.astype(np.uint16) if len(self.weights) <= 1 << 16 else row, kind="stable")
             own = row[order]
             first = np.flatnonzero(np.diff(own, prepend=-1))
             total = np.add.reduceat(slope.take(order, axis=0), first, axis=0) / n
@@ -296,7 +301,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                     some = np.arange(at, min(at + BATCH, len(b.tokens)))
                     klass, count = b.klass(some), b.word_counts.take(b.tokens.take(some))
                     seen = np.log10(count + 1.0)
-                    by_class = log_softmax(weights, bias, b.features(some, facts.buckets))[np.arange(len(klass)), klass]
+                    by_class = log_softmax(weights, bias, b.features(some, facts.buckets), klass)
                     known[some], base[some] = count > 0, seen - np.log10(facts.n + facts.v + 1)
                     own[some] = by_class / np.log(10) + seen - in_class.take(klass)
                 sums = [np.add.reduceat(x, b.starts) for x in (known, base, own)]

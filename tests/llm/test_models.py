@@ -282,3 +282,11 @@ def test_vectors_that_take_no_part_do_not_decide_the_length(spark):
     rows = [(k, [0.0, 0.0]) for k in range(1, 6)] + [(100, [1.0, 2.0, 3.0]), (101, [1.0, 2.0, 4.0]), (102, [5.0, 2.0, 3.0])]
     got = [tuple(r) for r in ann.nearest(vectors(spark, rows)).collect()]
     assert sorted(got) == [(100, 1, 101, 1.0), (100, 2, 102, 4.0)]
+
+
+def test_scoring_asks_for_one_class_and_gets_the_same_number():
+    rng = np.random.default_rng(3)
+    weights, bias = rng.normal(size=(64, lm.CLASSES)).astype(np.float32), rng.normal(size=lm.CLASSES).astype(np.float32)
+    buckets, klass = rng.integers(0, 64, (4, 500)), rng.integers(0, lm.CLASSES, 500)
+    whole = lm.log_softmax(weights, bias, buckets)
+    assert np.array_equal(lm.log_softmax(weights, bias, buckets, klass), whole[np.arange(500), klass])
