@@ -75,6 +75,38 @@ def test_covers_are_disjoint_and_close(spark):
         assert found[-1][1] - found[0][0] <= (r["b"] - r["a"]) * (1 + 2 ** (2 - intervals.FINE)) + 2
 
 
+def test_windows_of_like_length_cost_an_event_one_block(spark):
+    """Each level in use is one more row to shuffle for every event."""
+    hours = lambda n: n * 3_600_000_000
+    spans = [(k * hours(7), k * hours(7) + hours(n)) for k in range(20) for n in (2, 5)]
+    rows = spark.createDataFrame(spans, "a long, b long").select(intervals.covering_blocks(F.col("a"), F.col("b")).alias("blocks")).collect()
+    assert len({x["level"] for r in rows for x in r["blocks"]}) == 2
+    assert max(len(r["blocks"]) for r in rows) <= 5
+
+
+@pytest.mark.parametrize("hot", [{}, {"hot_rows": 20}, {"hot_pairs": 100}, {"hot_rows": 0}])
+def test_pair_join_equals_plain_join(spark, hot):
+    from millrace.operators.joins import pair_join
+
+    rows = spark.range(200).select(F.col("id").alias("n"), F.when(F.col("id") % 3 > 0, F.col("id") % 50).otherwise(8).alias("a"), F.expr("nullif(id % 2, 1)").alias("b"))
+    rows = rows.union(rows.limit(40)).repartition(3)
+    lookup = spark.range(60).select((F.col("id") % 20).alias("a"), F.expr("nullif(id % 4, 3) % 2").alias("b"), F.concat(F.lit("v"), "id").alias("v"))
+    found = pair_join(rows, lookup, ["a", "b"], ["n"], 0, **hot)
+    assert sorted(map(tuple, found.select("n", "a", "b", "v").collect())) == sorted(map(tuple, rows.join(lookup, ["a", "b"]).select("n", "a", "b", "v").collect()))
+    assert ("_slice" in found._jdf.queryExecution().optimizedPlan().toString()) == bool(hot)
+
+
+def test_pair_join_splits_only_what_is_hot(spark):
+    from millrace.operators.joins import pair_join
+
+    rows = spark.range(2000).select(F.col("id").alias("n"), F.when(F.col("id") < 1000, F.lit(-1)).otherwise(F.col("id")).alias("a"))
+    lookup = spark.range(-1, 3000).select(F.col("id").alias("a"), F.col("id").alias("v"))
+    found = pair_join(rows, lookup, ["a"], ["n"], 0, hot_rows=500)
+    assert found.filter("a = -1").count() == 1000 and found.count() == 2000
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN" in text and text.count("explode") == 1
+
+
 EVENT = "event_no long, correlation_id string, tenant_id string, event_type string, produced_at timestamp_ntz"
 REQUEST = "request_id string, replay_kind string, event_no long, correlation_id string, tenant_id string, event_type string, window_from timestamp_ntz, window_to timestamp_ntz"
 
