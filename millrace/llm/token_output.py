@@ -24,6 +24,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -39,6 +40,8 @@ CHECKPOINT = 32
 BLOCK_TOKENS = 1 << 17
 SHARD_BYTES = 32 << 20                   # text per shard
 REMEMBERED = 700_000
+SLICE_CHARS = 16 << 20                   # of text cut and put together at once
+RUN = 256                                # stretches that the library is asked for in one text
 HEADER = struct.Struct("<4sIQIIIQQI")    # magic, version, table, lanes, checkpoint steps, checkpoints, ids, words, crc
 
 
@@ -158,31 +161,92 @@ class LibraryEncoder:
         # Cutting before single blanks and at line ends is only right for plain byte-level words.
         self.cuts = pre.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in pre and spec.normalizer is None
         self.known: dict[str, bytes] = {}
+        line_end = spec.encode("\n", add_special_tokens=False).ids
+        self.line_end = line_end[0] if self.cuts and len(line_end) == 1 and not any("\n" in a for a in self.added) else None
 
-    def stretches(self, text: str) -> list[str]:
+    def stretches(self, text: str) -> str | None:
+        """The text with NUL between its stretches; None if it must be encoded as a whole."""
         parts, blanks = text.split(), text.count(" ") + text.count("\n")
         if not self.cuts or "\0" in text or len(parts) != 1 + blanks or len(text) != blanks + len("".join(parts)) or any(a in text for a in self.added):
-            return [text]
-        return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
-
-    def encode(self, texts: list[str], end_id: int) -> list[bytes]:
-        cut = [self.stretches(t) if t else [] for t in texts]
-        known, end = self.known, np.array([end_id], self.dtype).tobytes()
-        fresh = [t for t in set().union(*cut) if t not in known]
+            return None
+        return text.replace("\n", "\0\n\0").replace(" ", "\0 ")
+
+    def asked(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def asked_in_runs(self, stretches: list[str]) -> dict[str, bytes]:
+        """Ids of stretches, many in one text with line ends between, whose id then tells them apart."""
+        alone = [t for t in stretches if self.line_end is None or "\n" in t]
+        found = dict(zip(alone, self.asked(alone)))
+        rest = [t for t in stretches if "\n" not in t] if alone else stretches
+        runs = [rest[i:i + RUN] for i in range(0, len(rest), RUN)] if self.line_end is not None else []
+        width = np.dtype(self.dtype).itemsize
+        for run, e in zip(runs, self.tokenizer.encode_batch_fast(["\n".join(r) for r in runs], add_special_tokens=False)):
+            ids = np.array(e.ids, self.dtype)
+            at, raw = (np.flatnonzero(ids == self.line_end) * width).tolist(), ids.tobytes()
+            if len(at) == len(run) - 1:
+                found.update(zip(run, [raw[i:j] for i, j in zip([0, *[x + width for x in at]], [*at, len(raw)])]))
+            else:
+                found.update(zip(run, self.asked(run)))
+        return found
+
+    def learn(self, wanted: list[str]) -> None:
+        known = self.known
+        fresh = [t for t in wanted if t not in known]
         if len(known) + len(fresh) > REMEMBERED:
-            wanted = set().union(*cut)
             known = self.known = {t: x for t, x in list(known.items())[-REMEMBERED // 3:] + [(t, known[t]) for t in wanted if t in known]}
         # A full stop or comma after letters is always a word of its own.
-        split = {t: (t[:-1], t[-1]) for t in fresh if self.cuts and t[-1] in ",." and t[1:-1].isalpha() and (t[0] == " " or t[0].isalpha())}
-        ask = list({p for t in fresh for p in split.get(t, (t,)) if p not in known})
-        for t, e in zip(ask, self.tokenizer.encode_batch_fast(ask, add_special_tokens=False)):
-            known[t] = np.array(e.ids, self.dtype).tobytes()
-        for t, (a, b) in split.items():
-            known[t] = known[a] + known[b]
-        out = [b"".join(map(known.__getitem__, c)) + end for c in cut]
-        for c in cut:
-            if len(c) == 1:
-                known.pop(c[0], None)                        # a whole text is not kept
+        split = [t for t in fresh if t[-1] in ",." and t[1:-1].isalpha() and (t[0] == " " or t[0].isalpha())]
+        ask = set(fresh).difference(split)
+        ask.update(p for t in split for p in (t[:-1], t[-1]) if p not in known)
+        known.update(self.asked_in_runs(list(ask)))
+        for t in split:
+            known[t] = known[t[:-1]] + known[t[-1]]
+
+    def put_together(self, marked: list[str], end: bytes) -> list[bytes]:
+        """Ids of texts with NUL between their stretches: each different stretch is looked up once."""
+        words = pc.split_pattern(pa.array(marked, pa.large_string()), "\0")
+        coded = words.flatten().dictionary_encode()
+        listed = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary)
+        distinct = pc.binary_join(listed, pa.scalar("\0", pa.large_string()))[0].as_py().split("\0")  # to_pylist is slower
+        index = coded.indices.to_numpy()
+        self.learn(distinct)
+        found = [self.known[t] for t in distinct]
+        pool = np.frombuffer(b"".join(found), self.dtype)
+        size = np.fromiter(map(len, found), np.int64, len(found)) // pool.itemsize
+        n = size[index]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        small = np.int32 if max(ends[-1], len(pool)) < 1 << 31 else np.int64
+        ids = pool[np.repeat(((np.cumsum(size) - size)[index] - ends[:-1]).astype(small), n) + np.arange(ends[-1], dtype=small)]
+        bounds, raw = (ends[words.offsets.to_numpy()] * pool.itemsize).tolist(), ids.tobytes()
+        return [raw[a:b] + end for a, b in zip(bounds, bounds[1:])]
+
+    def encode(self, texts: list[str | None], end_id: int) -> list[bytes]:
+        end = np.array([end_id], self.dtype).tobytes()
+        out = [end] * len(texts)
+        places, held, chars, whole = [], [], 0, []
+
+        def settle():
+            for i, x in zip(places, self.put_together(held, end)):
+                out[i] = x
+
+        for i, text in enumerate(texts):
+            if not text:
+                continue
+            marked = self.stretches(text)
+            if marked is None:
+                whole.append(i)
+                continue
+            places.append(i)
+            held.append(marked)
+            chars += len(marked)
+            if chars >= SLICE_CHARS:
+                settle()
+                places, held, chars = [], [], 0
+        if held:
+            settle()
+        for i, x in zip(whole, self.asked([texts[i] for i in whole])):
+            out[i] = x + end
         return out
 
 

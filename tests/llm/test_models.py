@@ -271,6 +271,29 @@ def test_token_files_equal_the_library(spark, tmp_path):
     assert back.agg(F.sum("n_tokens")).first()[0] == at
 
 
+def test_library_is_asked_for_many_stretches_in_one_text():
+    class Counted:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.texts = tokenizer, 0
+
+        def encode_batch_fast(self, texts, **options):
+            self.texts += len(texts)
+            return self.tokenizer.encode_batch_fast(texts, **options)
+
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcñé'日1.,-\u1680\u0301") for _ in range(rng.randint(1, 7)))
+    texts = ["".join(word() + rng.choice(" \n") for _ in range(30)) + word() for _ in range(100)]
+    odd = [None, "", " ", "\n", "a\n\nb", " a", "a\0b c", "a <|endoftext|> b", "it's\n'tis don't", "x\x1fy z", "a. b, c.\n.", "\n."]
+    encoder = token_output.LibraryEncoder(PATH)
+    encoder.tokenizer = counted = Counted(encoder.tokenizer)
+    whole = sum(bool(t) and encoder.stretches(t) is None for t in texts)
+    got = encoder.encode(texts, 2)
+    assert counted.texts <= whole + 20 + len(texts) * 31 // token_output.RUN
+    got += encoder.encode(odd + texts, 2)
+    plain = lambda t: counted.tokenizer.encode(t or "", add_special_tokens=False).ids + [2]
+    assert [np.frombuffer(x, encoder.dtype).tolist() for x in got] == [plain(t) for t in texts + odd + texts]
+
+
 def test_token_files_of_odd_rows(spark, tmp_path):
     rows = token_output.report(documents(spark, ODD), PATH, str(tmp_path / "odd")).orderBy("start").collect()
     assert [r["doc_id"] for r in rows] == [None, 0, 1, 2, 3, 4, 4]
