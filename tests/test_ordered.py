@@ -165,6 +165,18 @@ def test_summary_shuffles_no_payloads(spark, tmp_path):
     assert found.count() == 30_000
 
 
+def test_copies_of_many_patients_are_not_broadcast(spark):
+    """A broadcast of the copies weighs on every task that reads it; the estimate of their size says nothing of the copies."""
+    from millrace.operators import joins, structure
+
+    patients = spark.range(joins.BROADCAST_ROWS + 1).select(F.col("id").cast("string").alias("patient_id"))
+    rows = spark.range(3).select(F.col("id").alias("event_id"), F.concat(F.lit("Patient/"), F.col("id") * 150_000).alias("reference"))
+    found = structure.resolve_patients(rows, patients)
+    assert {r["event_id"]: r["resolved"] for r in found.collect()} == {0: True, 1: True, 2: False}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_selection_without_requests(spark):
     events = spark.createDataFrame([(1, "c", "t", "x", START)], EVENT)
     assert replay.select_events(events, spark.createDataFrame([], REQUEST)).count() == 0
