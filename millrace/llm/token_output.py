@@ -20,7 +20,9 @@ from __future__ import annotations
 import os
 import struct
 import zlib
+from collections.abc import Iterator
 from functools import lru_cache
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +42,11 @@ CHECKPOINT = 32
 BLOCK_TOKENS = 1 << 17
 SHARD_BYTES = 32 << 20                   # text per shard
 REMEMBERED = 700_000
-SLICE_CHARS = 16 << 20                   # of text cut and put together at once
+SLICE_BYTES = 8 << 20                    # of text cut and put together at once
 RUN = 256                                # stretches that the library is asked for in one text
+BLANK = "\u0120"                         # how byte-level vocabularies write a blank
+IRREGULAR = (r"\A[ \n]|[ \n]\z|[ \n][ \n]|[\x00-\x09\x0b-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+             r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
 HEADER = struct.Struct("<4sIQIIIQQI")    # magic, version, table, lanes, checkpoint steps, checkpoints, ids, words, crc
 
 
@@ -144,6 +149,12 @@ def decode_block(payload: bytes, table: Table, first: int = 0, last: int | None
     return out.reshape(-1)[:min(n, last * every * lanes) - first * every * lanes]
 
 
+def text_bytes(texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes of all texts, and where each begins and the last one ends."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    return np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]], offsets - offsets[0]
+
+
 class LibraryEncoder:
     """The tokenizers library, which is asked once for stretches of text that come again and again."""
 
@@ -158,95 +169,112 @@ class LibraryEncoder:
         self.added = [t.content for t in spec.get_added_tokens_decoder().values()]
         self.dtype = "<u2" if spec.get_vocab_size() <= 1 << 16 else "<u4"
         pre = str(spec.pre_tokenizer)
-        # Cutting before single blanks and at line ends is only right for plain byte-level words.
+        # Cutting before single blanks, at line ends and after letters is only right for plain byte-level words.
         self.cuts = pre.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in pre and spec.normalizer is None
-        self.known: dict[str, bytes] = {}
         line_end = spec.encode("\n", add_special_tokens=False).ids
         self.line_end = line_end[0] if self.cuts and len(line_end) == 1 and not any("\n" in a for a in self.added) else None
-
-    def stretches(self, text: str) -> str | None:
-        """The text with NUL between its stretches; None if it must be encoded as a whole."""
-        parts, blanks = text.split(), text.count(" ") + text.count("\n")
-        if not self.cuts or "\0" in text or len(parts) != 1 + blanks or len(text) != blanks + len("".join(parts)) or any(a in text for a in self.added):
-            return None
-        return text.replace("\n", "\0\n\0").replace(" ", "\0 ")
-
-    def asked(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def asked_in_runs(self, stretches: list[str]) -> dict[str, bytes]:
-        """Ids of stretches, many in one text with line ends between, whose id then tells them apart."""
-        alone = [t for t in stretches if self.line_end is None or "\n" in t]
-        found = dict(zip(alone, self.asked(alone)))
-        rest = [t for t in stretches if "\n" not in t] if alone else stretches
-        runs = [rest[i:i + RUN] for i in range(0, len(rest), RUN)] if self.line_end is not None else []
-        width = np.dtype(self.dtype).itemsize
-        for run, e in zip(runs, self.tokenizer.encode_batch_fast(["\n".join(r) for r in runs], add_special_tokens=False)):
-            ids = np.array(e.ids, self.dtype)
-            at, raw = (np.flatnonzero(ids == self.line_end) * width).tolist(), ids.tobytes()
-            if len(at) == len(run) - 1:
-                found.update(zip(run, [raw[i:j] for i, j in zip([0, *[x + width for x in at]], [*at, len(raw)])]))
-            else:
-                found.update(zip(run, self.asked(run)))
+        vocabulary = spec.get_vocab()
+        self.opens = np.zeros(1 + max(vocabulary.values(), default=0), dtype=bool)
+        self.opens[[i for t, i in vocabulary.items() if t.startswith(BLANK)]] = True
+        # Stretch number i has the next sizes[i] ids of the pool.
+        self.known: dict[str, int] = {}
+        self.pool, self.sizes = np.zeros(0, self.dtype), np.zeros(0, np.int64)
+
+    def regular(self, texts: pa.LargeStringArray) -> np.ndarray:
+        """Which texts may be cut: their blanks are single ones and line ends, each between other characters."""
+        odd = pc.match_substring_regex(texts, IRREGULAR) if self.cuts else pa.array([True] * len(texts))
+        for a in self.added:
+            odd = pc.or_(odd, pc.match_substring(texts, a))
+        return ~odd.to_numpy(zero_copy_only=False)
+
+    def cut(self, texts: pa.LargeStringArray) -> tuple[pa.LargeStringArray, np.ndarray]:
+        """Stretches of regular texts, and the place of each text's first one: before blanks, after line ends and letters' ends."""
+        data, offsets = text_bytes(texts)
+        line_end = data == 0x0A
+        first = line_end | (data == 0x20)
+        first[1:] |= line_end[:-1]
+        # Letters of ASCII, and those of two bytes up to U+01FF; what follows in ASCII is a word of its own.
+        letter = ((data | 0x20) - np.uint8(0x61)) < 26
+        letter[1:] |= (data[:-1] >= 0xC3) & (data[:-1] <= 0xC7) & ~((data[:-1] == 0xC3) & ((data[1:] | 0x20) == 0xB7))
+        first[1:] |= letter[:-1] & ~letter[1:] & (data[1:] < 0x80)
+        first[offsets[:-1][np.diff(offsets) > 0]] = True
+        at = np.append(np.flatnonzero(first), len(data))
+        return pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(at), pa.py_buffer(data)), np.searchsorted(at, offsets)
+
+    def stretches(self, text: str) -> list[str] | None:
+        """The stretches of one text; None if it must be encoded as a whole."""
+        texts = pa.array([text], pa.large_string())
+        return self.cut(texts)[0].to_pylist() if self.regular(texts)[0] else None
+
+    def asked(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def asked_in_runs(self, stretches: list[str]) -> tuple[list[str], list[np.ndarray], list[np.ndarray]]:
+        """The stretches in some order, their ids and sizes. Many go in one text, told apart by the blanks that they begin
+        with, or by line ends put between them."""
+        opened, ended, alone, order, ids, sizes = [], [], [], [], [], []
+        for t in stretches:
+            (alone if self.line_end is None or "\n" in t else opened if t[0] == " " and t[1:].isalpha() else ended).append(t)
+        for group, between in ((opened, ""), (ended, "\n")):
+            runs = [group[i:i + RUN] for i in range(0, len(group), RUN)]
+            for run, got in zip(runs, self.asked([between.join(r) for r in runs])):
+                ends = np.flatnonzero(got == self.line_end) if between else np.flatnonzero(self.opens[got])[1:]
+                if len(ends) != len(run) - 1:
+                    alone += run
+                    continue
+                order += run
+                sizes.append(np.diff(ends, prepend=-1 if between else 0, append=len(got)) - len(between))
+                ids.append(np.delete(got, ends) if between else got)
+        whole = self.asked(alone)
+        return order + alone, ids + whole, [*sizes, np.array([len(x) for x in whole], np.int64)]
+
+    def numbers(self, stretches: list[str]) -> np.ndarray:
+        """Numbers of different stretches; the library is asked for those that are not known."""
+        found = np.fromiter(map(self.known.get, stretches, repeat(-1)), np.int64, len(stretches))
+        unknown = np.flatnonzero(found < 0)
+        if not len(unknown):
+            return found
+        if len(self.known) + len(unknown) > REMEMBERED:
+            kept = np.zeros(len(self.sizes), dtype=bool)
+            kept[-REMEMBERED // 3:] = kept[found[found >= 0]] = True
+            moved = np.cumsum(kept) - 1
+            self.known = dict(zip(compress(self.known, kept), range(len(kept))))
+            self.pool, self.sizes = self.pool[np.repeat(kept, self.sizes)], self.sizes[kept]
+            found[found >= 0] = moved[found[found >= 0]]
+        fresh = [stretches[i] for i in unknown.tolist()]
+        order, ids, sizes = self.asked_in_runs(fresh)
+        self.known.update(zip(order, range(len(self.known), len(self.known) + len(order))))
+        self.pool, self.sizes = np.concatenate([self.pool, *ids]), np.concatenate([self.sizes, *sizes])
+        found[unknown] = np.fromiter(map(self.known.__getitem__, fresh), np.int64, len(fresh))
         return found
 
-    def learn(self, wanted: list[str]) -> None:
-        known = self.known
-        fresh = [t for t in wanted if t not in known]
-        if len(known) + len(fresh) > REMEMBERED:
-            known = self.known = {t: x for t, x in list(known.items())[-REMEMBERED // 3:] + [(t, known[t]) for t in wanted if t in known]}
-        # A full stop or comma after letters is always a word of its own.
-        split = [t for t in fresh if t[-1] in ",." and t[1:-1].isalpha() and (t[0] == " " or t[0].isalpha())]
-        ask = set(fresh).difference(split)
-        ask.update(p for t in split for p in (t[:-1], t[-1]) if p not in known)
-        known.update(self.asked_in_runs(list(ask)))
-        for t in split:
-            known[t] = known[t[:-1]] + known[t[-1]]
-
-    def put_together(self, marked: list[str], end: bytes) -> list[bytes]:
-        """Ids of texts with NUL between their stretches: each different stretch is looked up once."""
-        words = pc.split_pattern(pa.array(marked, pa.large_string()), "\0")
-        coded = words.flatten().dictionary_encode()
-        listed = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary)
+    def put_together(self, texts: pa.LargeStringArray, end: bytes) -> list[bytes]:
+        """Ids of regular texts: each different stretch is looked up once."""
+        words, first = self.cut(texts)
+        coded = words.dictionary_encode()
+        listed = pa.LargeListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int64()), coded.dictionary)
         distinct = pc.binary_join(listed, pa.scalar("\0", pa.large_string()))[0].as_py().split("\0")  # to_pylist is slower
-        index = coded.indices.to_numpy()
-        self.learn(distinct)
-        found = [self.known[t] for t in distinct]
-        pool = np.frombuffer(b"".join(found), self.dtype)
-        size = np.fromiter(map(len, found), np.int64, len(found)) // pool.itemsize
+        found = self.numbers(distinct)
+        starts, size, index = (np.cumsum(self.sizes) - self.sizes)[found], self.sizes[found], coded.indices.to_numpy()
         n = size[index]
         ends = np.concatenate([[0], np.cumsum(n)])
-        small = np.int32 if max(ends[-1], len(pool)) < 1 << 31 else np.int64
-        ids = pool[np.repeat(((np.cumsum(size) - size)[index] - ends[:-1]).astype(small), n) + np.arange(ends[-1], dtype=small)]
-        bounds, raw = (ends[words.offsets.to_numpy()] * pool.itemsize).tolist(), ids.tobytes()
+        small = np.int32 if max(ends[-1], len(self.pool)) < 1 << 31 else np.int64
+        raw = self.pool[np.repeat((starts[index] - ends[:-1]).astype(small), n) + np.arange(ends[-1], dtype=small)].tobytes()
+        bounds = (ends[first] * self.pool.itemsize).tolist()
         return [raw[a:b] + end for a, b in zip(bounds, bounds[1:])]
 
-    def encode(self, texts: list[str | None], end_id: int) -> list[bytes]:
+    def encode(self, texts: list[str | None] | pa.Array, end_id: int) -> list[bytes]:
         end = np.array([end_id], self.dtype).tobytes()
-        out = [end] * len(texts)
-        places, held, chars, whole = [], [], 0, []
-
-        def settle():
-            for i, x in zip(places, self.put_together(held, end)):
-                out[i] = x
-
-        for i, text in enumerate(texts):
-            if not text:
-                continue
-            marked = self.stretches(text)
-            if marked is None:
-                whole.append(i)
-                continue
-            places.append(i)
-            held.append(marked)
-            chars += len(marked)
-            if chars >= SLICE_CHARS:
-                settle()
-                places, held, chars = [], [], 0
-        if held:
-            settle()
-        for i, x in zip(whole, self.asked([texts[i] for i in whole])):
-            out[i] = x + end
+        texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+        texts = pc.fill_null(texts, "")
+        offsets, out, at = text_bytes(texts)[1] if len(texts) else None, [], 0
+        while at < len(texts):
+            to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, "right")) - 1)
+            part, at = texts.slice(at, to - at), to
+            regular = self.regular(part)
+            got = iter(self.put_together(part.filter(pa.array(regular)), end) if regular.any() else ())
+            whole = iter(self.asked(part.filter(pa.array(~regular)).to_pylist()))
+            out += [next(got) if r else next(whole).tobytes() + end for r in regular.tolist()]
         return out
 
 
@@ -255,6 +283,19 @@ def library(path: str) -> LibraryEncoder:
     return LibraryEncoder(path)
 
 
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
+    """Ids and texts of so many batches that the texts have ``SLICE_BYTES``; what is left comes last."""
+    held, size = [], 0
+    for batch in batches:
+        held.append((batch.column(0), batch.column(1).cast(pa.large_string())))
+        size += batch.column(1).nbytes
+        if size >= SLICE_BYTES:
+            yield [pa.concat_arrays(c) for c in zip(*held)]
+            held, size = [], 0
+    if held:
+        yield [pa.concat_arrays(c) for c in zip(*held)]
+
+
 BLOCK = "shard int, block int, doc_ids array<long>, lengths array<long>, n_tokens long"
 
 
@@ -272,8 +313,8 @@ def token_blocks(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id"
                 "shard": shard, "block": block, "doc_ids": doc_ids, "lengths": [len(x) // width for x in ids], "n_tokens": held,
                 "ids": b"".join(ids)}], schema=arrow)
 
-        for batch in batches:
-            for doc, got in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist(), end_id)):
+        for some_ids, texts in gathered(batches):
+            for doc, got in zip(some_ids.to_pylist(), encoder.encode(texts, end_id)):
                 doc_ids.append(doc)
                 ids.append(got)
                 held += len(got) // width

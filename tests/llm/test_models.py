@@ -294,6 +294,39 @@ def test_library_is_asked_for_many_stretches_in_one_text():
     assert [np.frombuffer(x, encoder.dtype).tolist() for x in got] == [plain(t) for t in texts + odd + texts]
 
 
+def test_library_is_asked_once_for_a_word_with_different_marks_behind(monkeypatch):
+    class Counted:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.chars = tokenizer, 0
+
+        def encode_batch_fast(self, texts, **options):
+            self.chars += sum(map(len, texts))
+            return self.tokenizer.encode_batch_fast(texts, **options)
+
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcñß") for _ in range(12)) for _ in range(40)]
+    marks = ["".join(rng.choice("!,.%*'1") for _ in range(4)) for _ in range(40)]
+    texts = [" ".join(w + m for w in words) for m in marks]
+    encoder = token_output.LibraryEncoder(PATH)
+    plain = lambda t: encoder.tokenizer.encode(t or "", add_special_tokens=False).ids + [2]
+    expected = [plain(t) for t in texts]
+    encoder.tokenizer = counted = Counted(encoder.tokenizer)
+    got = encoder.encode(texts, 2)
+    assert [np.frombuffer(x, encoder.dtype).tolist() for x in got] == expected
+    assert counted.chars < 4 * sum(map(len, words + marks))     # not 40 times, for each pair of word and marks
+
+    encoder.tokenizer = counted.tokenizer
+    odd = ["", None, "×a÷b ×", "Ǆ! ǆ? ȡ. Ж, µ1 ªb", "don't 's 'll we'Re l'été's", "a\u200bb c\u180e d\x7fe", "a\u2003b c", "a  b", "1a2b3 4\n5\na", "Ġa Ġ Ċ"]
+    odd += ["".join(rng.choice("aZñ×÷ÿß'sl1.,!-Ж日\u0301\u00a0 \n") for _ in range(rng.randint(0, 40))) for _ in range(3000)]
+    odd += [" ".join("".join(rng.choice("aZñ×÷ÿß'stl1.,!-Ж日\u0301") for _ in range(rng.randint(1, 9))) for _ in range(20)) for _ in range(500)]
+    monkeypatch.setattr(token_output, "REMEMBERED", 300)
+    monkeypatch.setattr(token_output, "SLICE_BYTES", 1000)
+    for _ in range(2):
+        assert [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(odd, 2)] == [plain(t) for t in odd]
+    assert len(encoder.known) < 2000 and len(encoder.known) == len(encoder.sizes) and encoder.sizes.sum() == len(encoder.pool)
+    assert encoder.encode([], 2) == []
+
+
 def test_token_files_of_odd_rows(spark, tmp_path):
     rows = token_output.report(documents(spark, ODD), PATH, str(tmp_path / "odd")).orderBy("start").collect()
     assert [r["doc_id"] for r in rows] == [None, 0, 1, 2, 3, 4, 4]
