@@ -253,8 +253,8 @@ class LibraryEncoder:
         words, first = self.cut(texts)
         coded = words.dictionary_encode()
         listed = pa.LargeListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int64()), coded.dictionary)
-        distinct = pc.binary_join(listed, pa.scalar("\0", pa.large_string()))[0].as_py().split("\0")  # to_pylist is slower
-        found = self.numbers(distinct)
+        joined = pc.binary_join(listed, pa.scalar("\0", pa.large_string()))[0].as_py()          # to_pylist is slower
+        found = self.numbers(joined.split("\0") if joined else [])
         starts, size, index = (np.cumsum(self.sizes) - self.sizes)[found], self.sizes[found], coded.indices.to_numpy()
         n = size[index]
         ends = np.concatenate([[0], np.cumsum(n)])

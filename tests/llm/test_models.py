@@ -324,7 +324,9 @@ def test_library_is_asked_once_for_a_word_with_different_marks_behind(monkeypatc
     for _ in range(2):
         assert [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(odd, 2)] == [plain(t) for t in odd]
     assert len(encoder.known) < 2000 and len(encoder.known) == len(encoder.sizes) and encoder.sizes.sum() == len(encoder.pool)
-    assert encoder.encode([], 2) == []
+    end = np.array([2], encoder.dtype).tobytes()
+    assert encoder.encode([], 2) == [] and encoder.encode([""], 2) == [end] and encoder.encode([None, ""], 2) == [end] * 2
+    assert token_output.LibraryEncoder(PATH).encode(["", None], 2) == [end] * 2
 
 
 def test_token_files_of_odd_rows(spark, tmp_path):
