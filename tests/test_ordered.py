@@ -177,6 +177,20 @@ def test_copies_of_many_patients_are_not_broadcast(spark):
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
+def test_copies_are_not_broadcast_on_a_measured_size(spark):
+    """Adaptive execution plans again when the distinct patients are shuffled, by their size before they are copied."""
+    from millrace.operators import joins, structure
+
+    often = 5 * (joins.BROADCAST_ROWS + 1)  # estimated above Spark's limit, measured below it
+    patients = spark.range(often).select(F.expr("string(id div 5)").alias("patient_id"))
+    rows = spark.range(3).select(F.col("id").alias("event_id"), F.concat(F.lit("Patient/"), F.col("id") * 150_000).alias("reference"))
+    found = structure.resolve_patients(rows, patients)
+    plan = found._jdf.queryExecution().executedPlan()
+    assert "Broadcast" not in plan.toString()
+    assert {r["event_id"]: r["resolved"] for r in found.collect()} == {0: True, 1: True, 2: False}
+    assert "isFinalPlan=true" in plan.toString() and "SortMergeJoin" in plan.toString() and "Broadcast" not in plan.toString()
+
+
 def test_selection_without_requests(spark):
     events = spark.createDataFrame([(1, "c", "t", "x", START)], EVENT)
     assert replay.select_events(events, spark.createDataFrame([], REQUEST)).count() == 0
